@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -50,6 +51,7 @@ class Workspace:
 
     def tidy(self) -> None:
         """Lets the driver forget shuffles that no plan needs any more, so that their files go."""
+        gc.collect()
         self.spark._jvm.System.gc()
 
 

@@ -107,8 +107,12 @@ def anchor_batches(span: int, gram: int, buckets: int):
     """
 
     def flush(h: np.ndarray, d: np.ndarray, turn: int) -> pa.RecordBatch:
-        order = np.lexsort((d, h))
+        order = np.argsort(h)
         h, d = h[order], d[order]
+        n = np.diff(run_starts(h))
+        many = np.repeat(n > 1, n)
+        own = np.lexsort((d[many], h[many]))
+        d[many] = d[many][own]
         fresh = np.concatenate(([True], (h[1:] != h[:-1]) | (d[1:] != d[:-1])))
         h, d = h[fresh], d[fresh]
         cuts = run_starts(h)
@@ -242,7 +246,9 @@ def passage_batches(span: int, gram: int, shards: int):
             salt = lambda h, k: h ^ (k.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
             known = np.unique(salt(asked.flatten().to_numpy().view(np.uint64), np.repeat(np.arange(len(docs)), counts)))
             for h, number, first, windows in passages(data, offsets, span, gram):
-                hit = np.flatnonzero(np.isin(salt(h, number), known))
+                key = salt(h, number)
+                at = np.minimum(np.searchsorted(known, key), max(len(known) - 1, 0))
+                hit = np.flatnonzero(known[at] == key) if len(known) else np.zeros(0, np.int64)
                 inner = first[hit] - offsets[number[hit]]
                 for hh, d, row, lo, s, n in zip(h[hit].tolist(), docs[number[hit]].tolist(), rows[number[hit]].tolist(), first[hit].tolist(), inner.tolist(), windows[hit].tolist(), strict=True):
                     copies.add(data[lo : lo + n + span - 1].tobytes(), hh, d, (row, s), n)
@@ -298,18 +304,19 @@ class RunLengthIndex:
             run_map[own] = below[c] + np.cumsum(run_size[own]) - run_size[own]
         return cls(text - n_texts, run_start, run_symbol, order[run_start], order[run_start + run_size - 1], run_map, class_start, np.minimum.reduceat(owner, class_start), ends, by_symbol)
 
-    def matching_statistics(self, patterns: list[bytes]) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
+    def matching_statistics(self, patterns: list[bytes], texts: np.ndarray | None = None) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
         """Streams all patterns from their last byte to their first, a byte of each at a time.
 
         Yields (bytes from the end, patterns that still go, length of the longest match that starts there, its row). A row maps to the next
         one within its run's symbol; where the symbol differs, the match goes on from the nearer end of the nearest runs with it, at the
-        sampled position, and is cut to what agrees there.
+        sampled position, and is cut to what agrees there. Patterns that end as the indexed texts ``texts`` do start at those texts' ends.
         """
         sizes = np.array([len(p) for p in patterns])
         order = np.argsort(-sizes, kind="stable")
         flat = np.frombuffer(b"".join(patterns), np.uint8).astype(np.int64)
         starts = np.cumsum(sizes) - sizes
-        row, place, length = np.zeros(len(patterns), np.int64), np.full(len(patterns), int(self.ends[0])), np.zeros(len(patterns), np.int64)
+        row = np.zeros(len(patterns), np.int64) if texts is None else texts.copy()  # the end of text k is the least suffix but k
+        place, length = self.ends[row], np.zeros(len(patterns), np.int64)
         going = np.searchsorted(-sizes[order], -np.arange(1, int(sizes.max(initial=0)) + 1), side="right")
         for back, m in enumerate(going.tolist(), 1):
             who = order[:m]
@@ -400,6 +407,22 @@ def suffixes(text: np.ndarray, symbols: int, span: int) -> tuple[np.ndarray, np.
     return order, same
 
 
+def alike(texts: list[bytes], span: int) -> np.ndarray:
+    """Which texts have a window whose hash another window has: all that share ``span`` bytes with another, and hardly any else."""
+    out = np.zeros(len(texts), bool)
+    if not texts:
+        return out
+    sizes = np.array([len(t) for t in texts])
+    data, starts = np.frombuffer(b"".join(texts), np.uint8), np.cumsum(sizes) - sizes
+    h = np.concatenate([gram_hashes(data[lo : lo + PIECE + span - 1], span) for lo in range(0, max(len(data) - span + 1, 1), PIECE)])
+    owner = np.repeat(np.arange(len(texts)), sizes - span + 1)
+    at = starts[owner] + np.arange(len(owner)) - np.repeat(np.cumsum(sizes - span + 1) - (sizes - span + 1), sizes - span + 1)
+    order = np.argsort(h[at])
+    n = np.diff(run_starts(h[at][order]))
+    out[owner[order[np.repeat(n > 1, n)]]] = True
+    return out
+
+
 def shard_batches(span: int):
     """Rows of a shard, sorted by shard, to marks (doc, row, mark) of windows that an earlier document has."""
 
@@ -408,13 +431,14 @@ def shard_batches(span: int):
         for h, _, _ in copies.by_bytes.values():
             by_anchor[h] = by_anchor.get(h, 0) + 1
         unlike = [(p, doc, places) for p, (h, doc, places) in copies.by_bytes.items() if by_anchor[h] > 1]
+        unlike = [unlike[k] for k in np.flatnonzero(alike([p for p, _, _ in unlike], span)).tolist()]
         repeats = copies.repeats
         if unlike:
             owners = np.array([doc for _, doc, _ in unlike])
             index = RunLengthIndex.build([p for p, _, _ in unlike], owners, span)
             windows = np.array([len(p) - span + 1 for p, _, _ in unlike])
             hit_who, hit_at = [], []
-            for back, who, length, row in index.matching_statistics([p for p, _, _ in unlike]):
+            for back, who, length, row in index.matching_statistics([p for p, _, _ in unlike], np.arange(len(unlike))):
                 at = windows[who] + span - 1 - back
                 long = np.flatnonzero((length >= span) & (at < windows[who]))
                 earlier = long[index.owner_of(row[long]) < owners[who[long]]]
@@ -489,14 +513,21 @@ def repeat_dedup(docs: DataFrame, ws: Workspace, span: int = SPAN, gram: int = G
     rows = docs.select(F.xxhash64(doc, text).alias("row"), text.alias("text"), doc.alias("doc"))  # rows with equal (doc, row) are equal
     total = rows.agg(F.sum(F.length("text"))).first()[0] or 0
     buckets = int(max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), total // BUCKET_BYTES, 1))
-    packed = rows.select("row", "text").mapInArrow(anchor_batches(span, gram, buckets), "bucket int, kind int, h binary, d binary, single binary")
-    shared = packed.repartition(buckets, "bucket").sortWithinPartitions("bucket").mapInArrow(shared_batches, "row long, h long")
-    shared = ws.save(shared, "shared")
+    def anchors() -> DataFrame:
+        packed = rows.select("row", "text").mapInArrow(anchor_batches(span, gram, buckets), "bucket int, kind int, h binary, d binary, single binary")
+        shared = packed.repartition(buckets, "bucket").sortWithinPartitions("bucket").mapInArrow(shared_batches, "row long, h long")
+        return ws.save(shared, "shared")
+
+    def repeats(shared: DataFrame) -> DataFrame:
+        asked = shared.groupBy("row").agg(F.collect_set("h").alias("hs"))
+        found = rows.join(asked, "row").mapInArrow(passage_batches(span, gram, buckets), "shard int, heads binary, body binary, doc long, row long, mark long")
+        found = found.repartition(buckets, "shard").sortWithinPartitions("shard").mapInArrow(shard_batches(span), "doc long, row long, mark long")
+        return ws.save(found, "marks")
+
+    # Each step's frames are gone when it returns, and with them its shuffles.
+    shared = anchors()
     ws.tidy()
-    asked = shared.groupBy("row").agg(F.collect_set("h").alias("hs"))
-    found = rows.join(asked, "row").mapInArrow(passage_batches(span, gram, buckets), "shard int, heads binary, body binary, doc long, row long, mark long")
-    found = found.repartition(buckets, "shard").sortWithinPartitions("shard").mapInArrow(shard_batches(span), "doc long, row long, mark long")
-    found = ws.save(found, "marks")
+    found = repeats(shared)
     ws.drop("shared")
     ws.tidy()
     own = found.groupBy("row", "doc").agg(F.collect_list("mark").alias("marks"))
