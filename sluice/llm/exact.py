@@ -116,7 +116,7 @@ def exact_dedup(docs: DataFrame, ws: Workspace, id_col: str = "doc_id", text_col
         groups = index.where("group_size > 1").select("key", "n", "keep_id")
         wide = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text).alias("key"), F.octet_length(text).cast("long").alias("n"), text.alias("text"))
         members = ws.save(wide.join(groups, ["key", "n"]), "members", "zstd")
-        keeps = members.where(F.col("doc_id").eqNullSafe(F.col("keep_id"))).select("key", "n", F.col("text").alias("kept_text")).dropDuplicates(["key", "n"])
+        keeps = ws.save(members.where(F.col("doc_id").eqNullSafe(F.col("keep_id"))).select("key", "n", F.col("text").alias("kept_text")).dropDuplicates(["key", "n"]), "keeps", "zstd")  # a table, so that the join's larger side can be split
         odd = ws.save(members.join(keeps, ["key", "n"]).where("text <> kept_text").select("doc_id", "text"), "odd")
         if odd.head(1):
             again = odd.groupBy("text").agg(F.max("doc_id").alias("keep2"), F.count("*").alias("size2"))
