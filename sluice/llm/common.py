@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import gc
 import tempfile
+import time
 import uuid
 from collections.abc import Iterator
 
@@ -51,8 +52,10 @@ class Workspace:
 
     def tidy(self) -> None:
         """Lets the driver forget shuffles that no plan needs any more, so that their files go."""
-        gc.collect()
-        self.spark._jvm.System.gc()
+        for _ in range(2):
+            gc.collect()
+            self.spark._jvm.System.gc()
+            time.sleep(0.5)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

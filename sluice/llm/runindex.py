@@ -99,6 +99,22 @@ def passages(data: np.ndarray, offsets: np.ndarray, span: int, gram: int) -> Ite
         at = upto
 
 
+#: Bits of an anchor that tell whether it is shared; that two unlike ones agree in them only makes more passages to look at.
+ANCHOR_BITS = 48
+
+
+def squeeze(column: np.ndarray) -> bytes:
+    """A column's bytes by significance, then compressed: what is alike in neighbours takes next to no room."""
+    planes = np.ascontiguousarray(column.view(np.uint8).reshape(len(column), -1).T)
+    return len(column).to_bytes(4, "little") + pa.compress(planes.tobytes(), "zstd", asbytes=True)
+
+
+def unsqueeze(data: bytes, kind) -> np.ndarray:
+    n, kind = int.from_bytes(data[:4], "little"), np.dtype(kind)
+    planes = np.frombuffer(pa.decompress(data[4:], n * kind.itemsize, "zstd", asbytes=True), np.uint8)
+    return np.ascontiguousarray(planes.reshape(kind.itemsize, n).T).view(kind.base).reshape(n, *kind.shape)
+
+
 def anchor_batches(span: int, gram: int, buckets: int):
     """(row, text) to packed rows for the buckets of anchors.
 
@@ -119,24 +135,27 @@ def anchor_batches(span: int, gram: int, buckets: int):
         n = np.diff(cuts)
         shared = np.repeat(n > 1, n)
         first = cuts[:-1]
-        bucket = (h[first] >> np.uint64(40)) % np.uint64(buckets)
-        by = np.argsort(bucket, kind="stable")
-        edges = np.searchsorted(bucket[by], np.arange(buckets + 1).astype(np.uint64))
-        rows = [(k, 0, h[own].tobytes(), d[own].tobytes(), (n[pick] == 1).tobytes()) for k in range(buckets) if len(pick := by[edges[k] : edges[k + 1]]) and len(own := first[pick])]
+        lowest = np.array([-(-(k << ANCHOR_BITS) // buckets) for k in range(buckets + 1)], np.uint64)  # a bucket is a range of anchors
+        edges = np.searchsorted(h[first], lowest)
+        rows = []
+        for k in np.flatnonzero(edges[1:] > edges[:-1]).tolist():
+            own = first[edges[k] : edges[k + 1]]
+            names, index = np.unique(d[own], return_inverse=True)
+            rows.append((k, 0, squeeze(h[own]), squeeze(names), squeeze(index.astype(np.uint32)), squeeze((n[edges[k] : edges[k + 1]] == 1).view(np.uint8))))
         sh, sd = h[shared], d[shared]
-        rows += [((turn + k) % buckets, 1, sh[lo : lo + 50_000].tobytes(), sd[lo : lo + 50_000].tobytes(), b"") for k, lo in enumerate(range(0, len(sh), 50_000))]
+        rows += [((turn + k) % buckets, 1, squeeze(sh[lo : lo + 50_000]), squeeze(sd[lo : lo + 50_000]), b"", b"") for k, lo in enumerate(range(0, len(sh), 50_000))]
         return pack(rows)
 
     def pack(rows) -> pa.RecordBatch:
-        cols = list(zip(*rows, strict=True)) if rows else [()] * 5
-        return pa.RecordBatch.from_arrays([pa.array(cols[0], pa.int32()), pa.array(cols[1], pa.int32()), *(pa.array(c, pa.binary()) for c in cols[2:])], ["bucket", "kind", "h", "d", "single"])
+        cols = list(zip(*rows, strict=True)) if rows else [()] * 6
+        return pa.RecordBatch.from_arrays([pa.array(cols[0], pa.int32()), pa.array(cols[1], pa.int32()), *(pa.array(c, pa.binary()) for c in cols[2:])], ["bucket", "kind", "h", "d", "i", "single"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hs, ds, held, turn = [], [], 0, 0
         for batch in batches:
             docs = batch.column(0).to_numpy()
             for h, number, _, _ in passages(*buffer_of(batch.column(1)), span, gram):
-                hs.append(h)
+                hs.append(h & np.uint64((1 << ANCHOR_BITS) - 1))
                 ds.append(docs[number])
                 held += len(h)
                 if held >= UNIT_ANCHORS:
@@ -164,8 +183,8 @@ def shared_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
 
     now, hs, ds, singles = None, [], [], []
     for batch in batches:
-        for k, kind, h, d, s in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-            h, d = np.frombuffer(h, np.uint64), np.frombuffer(d, np.int64)
+        for k, kind, h, d, i, s in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            h, d = unsqueeze(h, np.uint64), unsqueeze(d, np.int64)
             if kind:
                 yield out(d, h)
                 continue
@@ -174,8 +193,8 @@ def shared_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
                 hs, ds, singles = [], [], []
             now = k
             hs.append(h)
-            ds.append(d)
-            singles.append(np.frombuffer(s, bool))
+            ds.append(d[unsqueeze(i, np.uint32)])
+            singles.append(unsqueeze(s, np.uint8).astype(bool))
     if hs:
         yield settle(hs, ds, singles)
 
@@ -219,9 +238,9 @@ def passage_batches(span: int, gram: int, shards: int):
             by.setdefault((h >> 40) % shards, []).append((passage, h, doc, places))
         keys, blobs = list(by), []
         for k in keys:
-            flat = [(len(p), h - (1 << 64) if h >> 63 else h, doc, *at) for p, h, doc, places in by[k] for at in places]
+            flat = np.array([(len(p), h & 0xFFFFFFFF, doc, *at) for p, h, doc, places in by[k] for at in places], np.int64)
             body = b"".join([p for p, _, _, places in by[k] for _ in places])
-            blobs.append((np.array(flat, np.int64).tobytes(), body))
+            blobs.append((squeeze(flat), len(body).to_bytes(4, "little") + pa.compress(body, "zstd", asbytes=True)))
         doc, row, mark = marks(copies.repeats)
         n, m = len(keys), len(doc)
         turn = np.arange(m, dtype=np.int32) // 50_000 % shards
@@ -246,7 +265,7 @@ def passage_batches(span: int, gram: int, shards: int):
             salt = lambda h, k: h ^ (k.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
             known = np.unique(salt(asked.flatten().to_numpy().view(np.uint64), np.repeat(np.arange(len(docs)), counts)))
             for h, number, first, windows in passages(data, offsets, span, gram):
-                key = salt(h, number)
+                key = salt(h & np.uint64((1 << ANCHOR_BITS) - 1), number)
                 at = np.minimum(np.searchsorted(known, key), max(len(known) - 1, 0))
                 hit = np.flatnonzero(known[at] == key) if len(known) else np.zeros(0, np.int64)
                 inner = first[hit] - offsets[number[hit]]
@@ -465,7 +484,8 @@ def shard_batches(span: int):
                     yield from settle(copies)
                     copies = Copies()
                 now = shard
-                heads, body, at = np.frombuffer(batch.column(1)[k].as_py(), np.int64).reshape(-1, 5), batch.column(2)[k].as_py(), 0
+                heads, body, at = unsqueeze(batch.column(1)[k].as_py(), np.dtype((np.int64, 5))), batch.column(2)[k].as_py(), 0
+                body = pa.decompress(body[4:], int.from_bytes(body[:4], "little"), "zstd", asbytes=True)
                 for size, h, doc, row, s in heads.tolist():
                     copies.add(body[at : at + size], h, doc, (row, s), size - span + 1)
                     at += size
@@ -514,7 +534,7 @@ def repeat_dedup(docs: DataFrame, ws: Workspace, span: int = SPAN, gram: int = G
     total = rows.agg(F.sum(F.length("text"))).first()[0] or 0
     buckets = int(max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), total // BUCKET_BYTES, 1))
     def anchors() -> DataFrame:
-        packed = rows.select("row", "text").mapInArrow(anchor_batches(span, gram, buckets), "bucket int, kind int, h binary, d binary, single binary")
+        packed = rows.select("row", "text").mapInArrow(anchor_batches(span, gram, buckets), "bucket int, kind int, h binary, d binary, i binary, single binary")
         shared = packed.repartition(buckets, "bucket").sortWithinPartitions("bucket").mapInArrow(shared_batches, "row long, h long")
         return ws.save(shared, "shared")
 
