@@ -23,9 +23,9 @@ LOOKALIKES = {
     "α": "a", "β": "b", "ε": "e", "η": "n", "ι": "i", "κ": "k", "μ": "u", "ν": "v", "ο": "o", "ρ": "p", "σ": "o", "τ": "t", "υ": "u", "χ": "x", "ω": "w",
     "ı": "i", "ɑ": "a", "ɡ": "g", "ɩ": "i", "ʏ": "y", "ᴏ": "o", "ᴀ": "a", "ᴇ": "e", "ꜱ": "s",
 }
-SIGNS = {"0": "o", "1": "l", "3": "e", "4": "a", "5": "s", "7": "t", "8": "b", "9": "g", "@": "a", "$": "s", "!": "l", "|": "l"}
+SIGNS = {"0": "o", "1": "l", "3": "e", "4": "a", "5": "s", "7": "t", "8": "b", "9": "g", "@": "a", "$": "s"}
 INVISIBLE = "­​‌‍⁠﻿"
-#: i and l are one letter after folding, since 1, ! and | stand for either.
+#: i and l are one letter after folding, since 1 stands for either.
 FOLD = {ord(a): b for a, b in (LOOKALIKES | SIGNS).items()} | {ord("i"): "l"} | {ord(LOOK): "l" for LOOK, b in LOOKALIKES.items() if b == "i"} | dict.fromkeys(map(ord, INVISIBLE), "")
 FOLD_BYTES = bytes(ord(FOLD.get(b, chr(b))) if b < 128 else b for b in range(256))
 #: Labelled rows that the lexicon and the two weights of its score are learned from, at most.
