@@ -30,18 +30,19 @@ def winnow(hashes: np.ndarray, window: int) -> np.ndarray:
 
 
 def windows_of(run: int):
-    """A mapInArrow function: (row, text) to a row per window of ``run`` lines: its fingerprint, its place, and the lines around the
+    """A mapInArrow function: (row, doc_id, text) to a row per window of ``run`` lines: its fingerprint, its place, and the lines around the
     fingerprint that the match is extended over (left and right, as hashes)."""
 
     def go(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = []
-            for row, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+            for row, doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), strict=True):
                 hashes = line_hashes(text.as_py())
                 for at, mark in enumerate(winnow(hashes, run).tolist()):
-                    out.append((row, at, int(hashes[mark]), hashes[at:mark][::-1].tobytes(), hashes[mark + 1 : at + run].tobytes()))
-            cols = list(zip(*out, strict=True)) if out else [()] * 5
-            yield pa.RecordBatch.from_arrays([pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.int32()), pa.array(np.array(cols[2], np.uint64).view(np.int64)), pa.array(cols[3], pa.binary()), pa.array(cols[4], pa.binary())], ["row", "at", "fp", "left", "right"])
+                    out.append((row, doc_id, at, int(hashes[mark]), hashes[at:mark][::-1].tobytes(), hashes[mark + 1 : at + run].tobytes()))
+            cols = list(zip(*out, strict=True)) if out else [()] * 6
+            fps = np.array(cols[3], np.uint64).view(np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.int64()), pa.array(cols[2], pa.int32()), pa.array(fps), pa.array(cols[4], pa.binary()), pa.array(cols[5], pa.binary())], ["row", "doc_id", "at", "fp", "left", "right"])
 
     return go
 
@@ -76,19 +77,17 @@ def line_dedup(docs: DataFrame, ws: Workspace, run: int = RUN, id_col: str = "do
     A run is ``run`` consecutive lines or more. A line goes if it is part of ``run`` lines in a row that also stand earlier: in a
     row before (by id, then by text and order of the table for equal ids) or further up in the same text. The first copy stays whole.
 
-    Every window of ``run`` lines has a fingerprint, the least of its line hashes, which any copy of the window has too. Only
-    fingerprints that stand at two places or more are joined; from there the match is extended left and right over the window's lines, and of
-    windows that agree on both sides the earliest stays. What is shuffled is a fixed number of bytes per window, with the earliest place of
-    each window worked out before, so that a line with a third of all rows is one row per task.
+    Every window of ``run`` lines has a fingerprint, the least of its line hashes, which any copy of the window has too. Places with equal
+    fingerprints are joined where the match also extends left and right over the window's lines; of windows that agree on both sides the
+    earliest stays, and longer runs are unions of windows. What is shuffled is a fixed number of bytes per window, and the earliest place
+    of each is worked out before the join with map-side combining: a common line is spread by its neighbours, a common window is one row per task.
 
     Lines end with \\n; an empty text has none. Null texts are empty. Null ids come first. Extra columns are ignored.
     """
     rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).cast("long").alias("doc_id"), text_of(text_col).alias("text"))
-    windows = ws.save(rows.select("row", "text").mapInArrow(windows_of(run), "row long, at int, fp long, left binary, right binary").join(rows.select("row", "doc_id"), "row"), "windows")
-    marks = windows.groupBy("fp").agg(F.count("*").alias("n")).where("n > 1").select("fp")
-    shared = windows.join(marks, "fp", "left_semi")
+    windows = ws.save(rows.mapInArrow(windows_of(run), "row long, doc_id long, at int, fp long, left binary, right binary"), "windows")
     place = F.struct(F.col("doc_id").isNotNull().alias("named"), F.col("doc_id").alias("id"), F.col("row").alias("row"), F.col("at").alias("at"))
-    first = shared.groupBy("fp", "left", "right").agg(F.min(place).alias("first"), F.count("*").alias("n")).where("n > 1")
-    later = shared.join(first, ["fp", "left", "right"]).where((F.col("row") != F.col("first.row")) | (F.col("at") != F.col("first.at")))
+    first = windows.groupBy("fp", "left", "right").agg(F.min(place).alias("first"), F.count("*").alias("n")).where("n > 1")
+    later = windows.join(first, ["fp", "left", "right"]).where((F.col("row") != F.col("first.row")) | (F.col("at") != F.col("first.at")))
     starts = later.groupBy("row").agg(F.collect_list("at").alias("starts"))
     return rows.join(starts, "row", "left").select("doc_id", "text", "starts").mapInArrow(cut_batches(run), "doc_id long, text string, n_lines long, n_removed long, n_runs long")
