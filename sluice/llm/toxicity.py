@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import text_of
+from .common import Workspace, text_of
 
 # Letters of other scripts that look like Latin ones, then signs and digits that stand for letters.
 LOOKALIKES = {
@@ -177,7 +177,7 @@ def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1.0) -> np.ndarray:
 
 
 def learn(docs: DataFrame, labels: DataFrame, train, id_col: str = "doc_id", text_col: str = "text", rows: int = TRAINING_ROWS, phrases: tuple[str, ...] = ()) -> Lexicon:
-    """A lexicon from at most ``rows`` labelled documents (drawn by a hash of the id) for which ``train`` holds.
+    """A lexicon from at most ``rows`` labelled documents (drawn by a hash of the id) for which ``train`` holds; one scan of ``docs`` gathers them.
 
     Terms are those whose odds among toxic documents are e**LEAST_WEIGHT times those among clean ones. Phrases of two words that hold a
     term and stand in clean documents only, three at least, become exceptions. Without labels of both kinds no term is learned.
@@ -185,6 +185,7 @@ def learn(docs: DataFrame, labels: DataFrame, train, id_col: str = "doc_id", tex
     chosen = labels.where(F.col(id_col).isNotNull() & F.col("toxic").isin(0, 1)).select(F.col(id_col), "toxic").where(train).dropDuplicates([id_col])
     chosen = chosen.orderBy(F.xxhash64(F.col(id_col)), id_col).limit(rows)
     sample = docs.select(F.col(id_col), text_of(text_col).alias("text")).join(F.broadcast(chosen), id_col).select(F.col("toxic").cast("int").alias("toxic"), "text")
+    sample = Workspace(docs.sparkSession, "lexicon").save(sample, "sample")
     counts = {r[0]: r[1] for r in sample.groupBy("toxic").agg(F.count("*")).collect()}
     toxic, clean = counts.get(1, 0), counts.get(0, 0)
     prior = math.log((toxic + 0.5) / (clean + 0.5))
