@@ -143,6 +143,7 @@ def anchor_batches(span: int, gram: int, buckets: int):
             names, index = np.unique(d[own], return_inverse=True)
             rows.append((k, 0, squeeze(h[own]), squeeze(names), squeeze(index.astype(np.uint32)), squeeze((n[edges[k] : edges[k + 1]] == 1).view(np.uint8))))
         sh, sd = h[shared], d[shared]
+        turn += int(d[:1].view(np.uint64).sum() % np.uint64(buckets))  # tasks start at different buckets
         rows += [((turn + k) % buckets, 1, squeeze(sh[lo : lo + 50_000]), squeeze(sd[lo : lo + 50_000]), b"", b"") for k, lo in enumerate(range(0, len(sh), 50_000))]
         return pack(rows)
 
@@ -243,7 +244,7 @@ def passage_batches(span: int, gram: int, shards: int):
             blobs.append((squeeze(flat), len(body).to_bytes(4, "little") + pa.compress(body, "zstd", asbytes=True)))
         doc, row, mark = marks(copies.repeats)
         n, m = len(keys), len(doc)
-        turn = np.arange(m, dtype=np.int32) // 50_000 % shards
+        turn = (row.to_numpy().view(np.uint64) % np.uint64(shards)).astype(np.int32)  # settled marks only pass through; rows are hashes
         yield pa.RecordBatch.from_arrays(
             [
                 pa.concat_arrays([pa.array(keys, pa.int32()), pa.array(turn, pa.int32())]),
