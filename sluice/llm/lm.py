@@ -19,7 +19,9 @@ HELD_WORDS = 100_000
 #: Distinct words that a task counts before it passes the counts on.
 FLUSH = 400_000
 #: Added to every piece's count.
-PRIOR = 0.5
+PRIOR = 0.01
+#: Passes that re-estimate the pieces' probabilities over all segmentations.
+PASSES = 2
 
 
 def count_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -45,24 +47,43 @@ def count_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
     yield flush()
 
 
-def piece_batches(vocabulary: Vocabulary):
-    """Words with counts to piece counts: each word's best segmentation by the vocabulary's scores, times its count."""
+def piece_batches(vocabulary: Vocabulary, log_p: np.ndarray | None = None):
+    """Words to piece counts, each distinct word once: of its best segmentation by the vocabulary's scores, or expected over all of them under ``log_p``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         a = automaton(vocabulary)
         tally = np.zeros(len(vocabulary.pieces))
         for batch in batches:
-            counts = batch.column(1).to_numpy()
             words = [b" " + w for w in batch.column(0).to_pylist()]
             for lo in range(0, len(words), 20_000):
-                ids = a.encode(words[lo : lo + 20_000])
-                tally += np.bincount(np.concatenate([*ids, np.zeros(0, np.int32)]), np.repeat(counts[lo : lo + 20_000], [len(i) for i in ids]), len(tally))
+                part = words[lo : lo + 20_000]
+                if log_p is None:
+                    tally += np.bincount(np.concatenate([*a.encode(part), np.zeros(0, np.int32)]), minlength=len(tally))
+                else:
+                    tally += a.expected(part, log_p)
         used = np.flatnonzero(tally)
-        yield pa.RecordBatch.from_arrays([pa.array(used.astype(np.int32)), pa.array(tally[used].astype(np.int64))], ["piece", "n"])
+        yield pa.RecordBatch.from_arrays([pa.array(used.astype(np.int32)), pa.array(tally[used])], ["piece", "n"])
 
     return run
 
 
+def piece_scores(words: DataFrame, vocabulary: Vocabulary, passes: int) -> np.ndarray:
+    """Natural log probabilities of the pieces: counts in the best segmentations of ``words``, then ``passes`` of expectation and maximisation.
+
+    At most one row per piece of the vocabulary and task is summed, and one per piece comes to the driver.
+    """
+    log_p = None
+    for _ in range(passes + 1):
+        pieces = np.full(len(vocabulary.pieces), PRIOR)
+        pieces[[not p for p in vocabulary.pieces]] = 0
+        counted = words.select("word").mapInArrow(piece_batches(vocabulary, log_p), "piece int, n double")
+        for row in counted.groupBy("piece").agg(F.sum("n").alias("n")).collect():
+            pieces[row["piece"]] += row["n"]
+        with np.errstate(divide="ignore"):
+            log_p = np.round(np.log(pieces / pieces.sum()), 9)  # sums of doubles come in any order
+    return log_p
+
+
 def word_batches(vocabulary: Vocabulary, log_p, totals: tuple[int, int, int], known_share: float):
     """(word, c) to (word, c, base, score): both log10 probabilities of the word as a token."""
     n, ends, v = totals
@@ -114,12 +135,13 @@ def document_batches(held, end: tuple[float, float, bool]):
     return run
 
 
-def lm_scores(docs: DataFrame, train: Column, ws: Workspace, path: str = MODEL, id_col: str = "doc_id", text_col: str = "text", held_words: int = HELD_WORDS) -> DataFrame:
+def lm_scores(docs: DataFrame, train: Column, ws: Workspace, path: str = MODEL, id_col: str = "doc_id", text_col: str = "text", held_words: int = HELD_WORDS, passes: int = PASSES) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score for every row of ``docs``.
 
     Tokens are words (A-Z lower-cased, parted by ASCII white space) and one end per text. The model gives a word the mixture of two arcs
     sets over its bytes with a space in front: the vocabulary's pieces, summed over all segmentations, and the whole word as seen in training. The
-    existing scores choose the segmentation of every training word, and the pieces' probabilities are their counts in it; the whole-word arcs
+    existing scores choose a segmentation of every training word, whose pieces' counts are the first probabilities; ``passes`` then re-estimate them
+    over all segmentations. Each distinct word counts once there, as spelling serves words not seen, which resemble the rare ones. The whole-word arcs
     weigh as much as Good-Turing leaves to seen words (1 - words seen once / tokens). The end has its relative frequency. Probabilities of
     all texts sum to at most 1.
 
@@ -135,13 +157,7 @@ def lm_scores(docs: DataFrame, train: Column, ws: Workspace, path: str = MODEL,
     found = words.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("n"), F.count(F.when(F.col("c") > 0, 1)).alias("v"), F.count(F.when(F.col("c") == 1, 1)).alias("once")).first()
     n, v = int(found["n"]) + ends, int(found["v"]) + (ends > 0)
     share = max(0.0, 1 - found["once"] / n) if n else 0.0
-    # At most one row per piece of the vocabulary comes to the driver.
-    pieces = np.full(len(vocabulary.pieces), PRIOR)
-    pieces[[not p for p in vocabulary.pieces]] = 0
-    for row in words.where("c > 0").mapInArrow(piece_batches(vocabulary), "piece int, n long").groupBy("piece").agg(F.sum("n").alias("n")).collect():
-        pieces[row["piece"]] += row["n"]
-    with np.errstate(divide="ignore"):
-        log_p = np.log(pieces / pieces.sum())
+    log_p = piece_scores(words.where("c > 0"), vocabulary, passes)
     scored = ws.save(words.mapInArrow(word_batches(vocabulary, log_p, (n, ends, v), share), "word binary, c long, base double, score double"), "words")
     ws.drop("counts")
     ws.tidy()

@@ -211,6 +211,32 @@ class Automaton:
             out[which] = total[own, np.arange(n)]
         return out
 
+    def expected(self, strings: list[bytes], log_p: np.ndarray) -> np.ndarray:
+        """How often each piece is used, expected over all segmentations of each string: the forward recursion, then the backward one over its arcs."""
+        tally = np.zeros(len(log_p))
+        octet_p = log_p[self.byte_id]
+        for which, own, grid in self.batches(strings):
+            longest, n = grid.shape
+            total, after = np.full((longest + 1, n), -np.inf), np.full((longest + 1, n), -np.inf)
+            total[0] = 0
+            after[own, np.arange(n)] = 0
+            arcs: list[list[tuple[np.ndarray, np.ndarray]]] = []
+            for pos, m, outputs in self.walk(own, grid):
+                now = total[pos + 1]
+                arcs.append([(np.arange(m), self.byte_id[grid[pos, :m]])])
+                now[:m] = total[pos, :m] + octet_p[grid[pos, :m]]
+                for who, ids in outputs:
+                    now[who] = np.logaddexp(now[who], total[pos + 1 - self.length[ids], who] + log_p[ids])
+                    arcs[-1].append((who, ids))
+            whole = total[own, np.arange(n)]
+            for pos in range(longest - 1, -1, -1):
+                for k, (who, ids) in enumerate(arcs[pos]):
+                    start = pos + 1 - self.length[ids] if k else pos
+                    rest = after[pos + 1, who] + log_p[ids]
+                    after[start, who] = np.logaddexp(after[start, who], rest)
+                    tally += np.bincount(ids, np.exp(total[start, who] + rest - whole[who]), len(tally))
+        return tally
+
 
 def automaton(vocabulary: Vocabulary) -> Automaton:
     """The vocabulary's automaton, built once in each worker process."""

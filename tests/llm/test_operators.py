@@ -246,6 +246,13 @@ def test_lattice_sums_over_all_segmentations():
             ways = [total[j - 1] + log_p[a.vocabulary.byte_ids[s[j - 1]]]] + [total[i] + log_p[pieces[s[i:j]]] for i in range(max(0, j - 48), j) if s[i:j] in pieces]
             total.append(np.logaddexp.reduce(ways))
         assert got == pytest.approx(total[-1])
+    # The expected count of a piece is the derivative of the log likelihood by its log probability.
+    tally, step = a.expected(strings, log_p), 1e-4
+    for i in (*map(pieces.get, (b" the", b"he", b"ab", b"ma", b"e")), a.vocabulary.byte_ids[0xFF], a.vocabulary.byte_ids[ord("x")]):
+        up, down = log_p.copy(), log_p.copy()
+        up[i] += step
+        down[i] -= step
+        assert tally[i] == pytest.approx((a.likelihood(strings, up).sum() - a.likelihood(strings, down).sum()) / (2 * step), abs=1e-5)
 
 
 def test_toxicity(spark, none):
