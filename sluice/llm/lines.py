@@ -13,6 +13,8 @@ from .common import Workspace, text_of
 
 #: Consecutive lines that make a repeated run.
 RUN = 3
+#: Words that make a run of fewer lines, where runs qualify by words too.
+RUN_WORDS = 50
 
 
 def line_hashes(text: bytes) -> np.ndarray:
@@ -29,17 +31,21 @@ def winnow(hashes: np.ndarray, window: int) -> np.ndarray:
     return np.arange(len(views)) + window - 1 - views.argmin(axis=1)
 
 
-def windows_of(run: int):
-    """A mapInArrow function: (row, doc_id, text) to a row per window of ``run`` lines: its fingerprint, its place, and the lines around the
-    fingerprint that the match is extended over (left and right, as hashes)."""
+def windows_of(run: int, words: int | None = None):
+    """A mapInArrow function: (row, doc_id, text) to a row per window of ``run`` lines, and of fewer lines that have ``words`` words together:
+    its fingerprint, its place, and the lines around the fingerprint that the match is extended over (left and right, as hashes)."""
 
     def go(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = []
             for row, doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), strict=True):
-                hashes = line_hashes(text.as_py())
-                for at, mark in enumerate(winnow(hashes, run).tolist()):
-                    out.append((row, doc_id, at, int(hashes[mark]), hashes[at:mark][::-1].tobytes(), hashes[mark + 1 : at + run].tobytes()))
+                text = text.as_py()
+                hashes = line_hashes(text)
+                upto = np.cumsum([0, *(len(x.split()) for x in text.split(b"\n"))]) if words is not None and text else None
+                for size in range(run if upto is None else 1, run + 1):
+                    for at, mark in enumerate(winnow(hashes, size).tolist()):
+                        if size == run or upto[at + size] - upto[at] >= words:
+                            out.append((row, doc_id, at, int(hashes[mark]), hashes[at:mark][::-1].tobytes(), hashes[mark + 1 : at + size].tobytes()))
             cols = list(zip(*out, strict=True)) if out else [()] * 6
             fps = np.array(cols[3], np.uint64).view(np.int64)
             yield pa.RecordBatch.from_arrays([pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.int64()), pa.array(cols[2], pa.int32()), pa.array(fps), pa.array(cols[4], pa.binary()), pa.array(cols[5], pa.binary())], ["row", "doc_id", "at", "fp", "left", "right"])
@@ -47,8 +53,8 @@ def windows_of(run: int):
     return go
 
 
-def cut_batches(run: int):
-    """(doc_id, text, starts of repeated windows) to the text that is left."""
+def cut_batches():
+    """(doc_id, text, places and sizes of repeated windows) to the text that is left."""
 
     def go(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -59,8 +65,8 @@ def cut_batches(run: int):
                 lines = text.split(b"\n") if text else []
                 gone = np.zeros(len(lines) + 1, np.int64)
                 for s in at.as_py() or ():
-                    gone[s] += 1
-                    gone[min(s + run, len(lines))] -= 1
+                    gone[s["at"]] += 1
+                    gone[min(s["at"] + s["size"], len(lines))] -= 1
                 gone = np.cumsum(gone)[:-1] > 0
                 out.append(b"\n".join([x for x, g in zip(lines, gone.tolist(), strict=True) if not g]))
                 n_lines.append(len(lines))
@@ -71,11 +77,12 @@ def cut_batches(run: int):
     return go
 
 
-def line_dedup(docs: DataFrame, ws: Workspace, run: int = RUN, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def line_dedup(docs: DataFrame, ws: Workspace, run: int = RUN, words: int | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, text, n_lines, n_removed, n_runs: each text without the lines of later repeated runs.
 
     A run is ``run`` consecutive lines or more. A line goes if it is part of ``run`` lines in a row that also stand earlier: in a
     row before (by id, then by text and order of the table for equal ids) or further up in the same text. The first copy stays whole.
+    With ``words``, fewer lines in a row are a run too if they have so many words together: a long passage may be one line.
 
     Every window of ``run`` lines has a fingerprint, the least of its line hashes, which any copy of the window has too. Places with equal
     fingerprints are joined where the match also extends left and right over the window's lines; of windows that agree on both sides the
@@ -85,9 +92,10 @@ def line_dedup(docs: DataFrame, ws: Workspace, run: int = RUN, id_col: str = "do
     Lines end with \\n; an empty text has none. Null texts are empty. Null ids come first. Extra columns are ignored.
     """
     rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).cast("long").alias("doc_id"), text_of(text_col).alias("text"))
-    windows = ws.save(rows.mapInArrow(windows_of(run), "row long, doc_id long, at int, fp long, left binary, right binary"), "windows")
+    windows = ws.save(rows.mapInArrow(windows_of(run, words), "row long, doc_id long, at int, fp long, left binary, right binary"), "windows")
     place = F.struct(F.col("doc_id").isNotNull().alias("named"), F.col("doc_id").alias("id"), F.col("row").alias("row"), F.col("at").alias("at"))
     first = windows.groupBy("fp", "left", "right").agg(F.min(place).alias("first"), F.count("*").alias("n")).where("n > 1")
     later = windows.join(first, ["fp", "left", "right"]).where((F.col("row") != F.col("first.row")) | (F.col("at") != F.col("first.at")))
-    starts = later.groupBy("row").agg(F.collect_list("at").alias("starts"))
-    return rows.join(starts, "row", "left").select("doc_id", "text", "starts").mapInArrow(cut_batches(run), "doc_id long, text string, n_lines long, n_removed long, n_runs long")
+    size = 1 + ((F.octet_length("left") + F.octet_length("right")) / 8).cast("int")
+    starts = later.groupBy("row").agg(F.collect_list(F.struct("at", size.alias("size"))).alias("starts"))
+    return rows.join(starts, "row", "left").select("doc_id", "text", "starts").mapInArrow(cut_batches(), "doc_id long, text string, n_lines long, n_removed long, n_runs long")

@@ -42,6 +42,11 @@ def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cut.select("doc_id", "n_lines", "n_removed", "n_runs", F.sha2(F.col("text").cast("binary"), 256).alias("text_sha256"))
 
 
+def op6_line_dedup_words(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = lines.line_dedup(table(spark, sf_dir, "documents"), Workspace(spark, "op6w"), words=lines.RUN_WORDS)
+    return cut.select("doc_id", "n_lines", "n_removed", "n_runs", F.sha2(F.col("text").cast("binary"), 256).alias("text_sha256"))
+
+
 def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.exact_dedup(table(spark, sf_dir, "documents"), Workspace(spark, "op7"))
 
@@ -65,7 +70,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    every = (op1_warc, op2_mixing, op3_sentencepiece, op4_lm_scores, op5_toxicity, op6_line_dedup, op7_exact_dedup, op8_simhash, op9_suffix_dedup, op10_embedding_dedup, pipeline)
+    every = (op1_warc, op2_mixing, op3_sentencepiece, op4_lm_scores, op5_toxicity, op6_line_dedup, op6_line_dedup_words, op7_exact_dedup, op8_simhash, op9_suffix_dedup, op10_embedding_dedup, pipeline)
     return {f.__name__: f for f in every}
 
 
@@ -92,6 +97,20 @@ def oracle_sql() -> dict[str, str]:
                 CAST(len(list_filter(range(1, len(ls) + 1), lambda i: gone[i] AND (i = 1 OR NOT gone[i - 1]))) AS BIGINT) AS n_runs,
                 sha256(coalesce(array_to_string(list_transform(list_filter(range(1, len(ls) + 1), lambda i: NOT gone[i]), lambda i: ls[i]), chr(10)), '')) AS text_sha256
             FROM m""",
+        "op6_line_dedup_words": """
+            WITH d AS (SELECT doc_id, CASE WHEN coalesce(text, '') = '' THEN [] ELSE string_split(text, chr(10)) END AS ls FROM documents),
+            n AS (SELECT doc_id, ls, list_transform(ls, lambda x: len(regexp_extract_all(x, '[^\\x20\\x09-\\x0D]+'))) AS ws FROM d),
+            p AS (SELECT doc_id, ls, ws, unnest(range(1, len(ls) + 1)) AS i FROM n),
+            w AS (SELECT doc_id, i, z, ls[i : i + z - 1] AS run FROM p, (VALUES (1), (2), (3)) AS t(z)
+                WHERE i + z - 1 <= len(ls) AND (z = 3 OR list_sum(ws[i : i + z - 1]) >= 50)),
+            f AS (SELECT doc_id, i, z, row_number() OVER (PARTITION BY run ORDER BY doc_id, i) AS rn FROM w),
+            g AS (SELECT doc_id, list(DISTINCT i + k) AS gs FROM (SELECT doc_id, i, unnest(range(z)) AS k FROM f WHERE rn > 1) GROUP BY doc_id),
+            m AS (SELECT d.doc_id, ls, list_transform(range(1, len(ls) + 1), lambda i: gs IS NOT NULL AND list_contains(gs, i)) AS gone
+                FROM d LEFT JOIN g ON d.doc_id = g.doc_id)
+            SELECT doc_id, CAST(len(ls) AS BIGINT) AS n_lines, CAST(len(list_filter(gone, lambda x: x)) AS BIGINT) AS n_removed,
+                CAST(len(list_filter(range(1, len(ls) + 1), lambda i: gone[i] AND (i = 1 OR NOT gone[i - 1]))) AS BIGINT) AS n_runs,
+                sha256(coalesce(array_to_string(list_transform(list_filter(range(1, len(ls) + 1), lambda i: NOT gone[i]), lambda i: ls[i]), chr(10)), '')) AS text_sha256
+            FROM m""",
         "op7_exact_dedup": """
             WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents)
             SELECT doc_id, max(doc_id) OVER (PARTITION BY t) AS keep_id, count(*) OVER (PARTITION BY t) AS group_size,

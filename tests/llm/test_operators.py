@@ -151,6 +151,29 @@ def test_lines(spark, docs, rows, none):
     assert lines.line_dedup(none, Workspace(spark, "t")).count() == 0
 
 
+def test_lines_by_words(spark):
+    long, half, short = " ".join(["word"] * 50), " ".join(["half"] * 25), "a short line"
+    texts = [long, f"{long}\n{short}", short, short, f"{half}\n{half}", f"x\n{half}\n{half}\ny", half, f"{long}\n{short}\n{long}", "p\nq\nr", "p\nq\nr\ns", None, ""]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    seen, want = set(), {}
+    for i, t in enumerate(texts):
+        own = t.split("\n") if t else []
+        gone = [False] * len(own)
+        for size in (1, 2, 3):
+            for p in range(len(own) - size + 1):
+                gram = tuple(own[p : p + size])
+                if size == 3 or sum(len(x.split()) for x in gram) >= 50:
+                    if gram in seen:
+                        gone[p : p + size] = [True] * size
+                    seen.add(gram)
+        want[i] = "\n".join(x for x, g in zip(own, gone, strict=True) if not g)
+    assert want[1] == short and want[3] == short and want[5] == "x\ny" and want[7] == "" and want[9] == "s"
+    got = {r.doc_id: (r.text, r.n_removed) for r in lines.line_dedup(docs, Workspace(spark, "t"), words=lines.RUN_WORDS).collect()}
+    assert {i: t for i, (t, _) in got.items()} == want and got[7][1] == 3
+    plain = {r.doc_id: r.n_removed for r in lines.line_dedup(docs, Workspace(spark, "t")).collect()}
+    assert {i for i, n in plain.items() if n} == {9}
+
+
 def test_warc(spark):
     html = ["<p>ä</p>" * 50, None, "", "<p>ä</p>" * 50, "z" * 100_000, "\r\n\r\nWARC/1.1\r\n"]
     pages = spark.createDataFrame([(k, f"http://x/{k} \r\n", h, "e") for k, h in enumerate(html)] + [(9, None, "z", "e")], "page_id long, url string, html string, hex string")
