@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import time
 import uuid
 from collections.abc import Callable
@@ -34,29 +35,32 @@ def replay(spark: SparkSession, sf_dir: str, parts: int = 3) -> tuple[DataFrame,
     return stream, at
 
 
-def finish(stream: DataFrame, at: str, processing: bool = False, wait_s: int = 60) -> None:
-    """Runs a stream until its input is used up; a processing-time operator never ends by itself and is stopped then."""
+def finish(stream: DataFrame, at: str, processing: bool = False) -> None:
+    """Runs a stream until all files of ``at``/in are used up, however long that takes; a processing-time operator never ends by itself and is
+    stopped then. Raises if the stream failed or ended before."""
+    files = len(stream.sparkSession.read.schema("offset long").parquet(f"{at}/in").inputFiles())
     run = stream.writeStream.format("parquet").option("path", f"{at}/out").option("checkpointLocation", f"{at}/ck").outputMode("append")
-    if not processing:
-        query = run.trigger(availableNow=True).start()
-        query.awaitTermination(wait_s * 4)
-        return
-    query = run.trigger(processingTime="1 second").start()
+    query = (run.trigger(processingTime="1 second") if processing else run.trigger(availableNow=True)).start()
     try:
-        query.processAllAvailable() if wait_s <= 0 else settle(query, wait_s)
+        settle(query, files) if processing else query.awaitTermination()
+        if query.exception():
+            raise query.exception()
+        if taken(query) < files:
+            raise RuntimeError(f"the stream ended after {taken(query)} of {files} files")
     finally:
         query.stop()
 
 
-def settle(query, wait_s: int) -> None:
-    """Until a batch has found no more input."""
-    ends, seen = time.time() + wait_s, False
-    while time.time() < ends:
-        progress = query.lastProgress
-        if progress and progress["numInputRows"]:
-            seen = True
-        elif seen and progress:
-            return
+def taken(query) -> int:
+    """Files whose batches are committed, of a stream that takes one at a time."""
+    progress = query.lastProgress
+    end = progress and progress["sources"][0]["endOffset"]
+    return int(re.search(r"logOffset\W+(-?\d+)", str(end))[1]) + 1 if end else 0
+
+
+def settle(query, files: int) -> None:
+    """Until the batch of the last file is committed or the query has ended."""
+    while query.isActive and taken(query) < files:
         time.sleep(0.5)
 
 

@@ -1,9 +1,14 @@
 import json
 import os
 
+import time
+
 import pandas as pd
+import pytest
+from pyspark.sql import functions as F
 
 from sluice.catalog import rule
+from sluice.streaming import queries
 from sluice.streaming.stateful import OUTPUT, evaluate_stream, use_rocksdb
 
 FRAME = "raw string, data string, source_topic string, partition int, offset long, ingest_ms long, event_ms long"
@@ -32,3 +37,35 @@ def test_close_late_rows_and_anomalies(spark, tmp_path):
     late = [(x.window_start_ms - base, json.loads(x.aggregates)["cnt"]) for x in rows if x.kind == "result" and not x.is_final]
     assert late == [(0, 3.0)]
     assert sorted((x.window_start_ms - base, x.is_final) for x in rows if x.kind == "anomaly") == [(0, False), (5000, False)]
+
+
+class SlowQuery:
+    """Commits a file with each look at its progress, or fails before the last."""
+
+    def __init__(self, fails: bool):
+        self.fails, self.files, self.isActive = fails, 0, True
+
+    @property
+    def lastProgress(self):
+        self.files += 1
+        self.isActive = not (self.fails and self.files == 3)
+        return {"numInputRows": 0 if self.files == 2 else 5, "sources": [{"endOffset": '{"logOffset":%d}' % (min(self.files, 3) - 1)}]}
+
+
+def test_settle_waits_for_every_file(monkeypatch):
+    monkeypatch.setattr(time, "sleep", lambda _: None)
+    query = SlowQuery(False)
+    queries.settle(query, 3)
+    assert query.files >= 3
+    failed = SlowQuery(True)
+    queries.settle(failed, 9)
+    assert not failed.isActive
+
+
+@pytest.mark.parametrize("processing", [False, True])
+def test_a_failed_stream_raises(spark, tmp_path, processing):
+    at = f"file://{tmp_path}"
+    spark.range(6).select(F.col("id").alias("offset")).repartition(2).write.parquet(f"{at}/in")
+    stream = spark.readStream.schema("offset long").option("maxFilesPerTrigger", 1).parquet(f"{at}/in")
+    with pytest.raises(Exception, match="stopped on purpose"):
+        queries.finish(stream.select(F.when(F.col("offset") >= 0, F.raise_error(F.lit("stopped on purpose"))).cast("long").alias("x")), at, processing=processing)
