@@ -31,10 +31,24 @@ def replay(spark: SparkSession, sf_dir: str, parts: int = 3) -> tuple[DataFrame,
     at = scratch(spark)
     rows = frame(spark, sf_dir)
     rows.repartitionByRange(parts, "ingest_ms").sortWithinPartitions("ingest_ms").write.parquet(f"{at}/in")
+    stamp_in_order(spark, f"{at}/in")
     stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).option("latestFirst", False).parquet(f"{at}/in")
     return stream, at
 
 
+def stamp_in_order(spark: SparkSession, folder: str) -> None:
+    """Gives a folder's data files modification times a second apart in order of their names, which is the order of their ranges: the file
+    source goes by these, and the tasks that write them end in any order. Raises where the store does not keep the times."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    files = sorted((x.getPath() for x in fs.listStatus(path) if x.getPath().getName().startswith("part-")), key=lambda x: x.getName())
+    start = int(time.time()) - len(files)
+    for k, file in enumerate(files):
+        fs.setTimes(file, 1000 * (start + k), -1)
+        if fs.getFileStatus(file).getModificationTime() != 1000 * (start + k):
+            raise RuntimeError(f"modification times can't be set in {folder}: the order of the replay would be arbitrary")
+
+
 def finish(stream: DataFrame, at: str, processing: bool = False) -> None:
     """Runs a stream until all files of ``at``/in are used up, however long that takes; a processing-time operator never ends by itself and is
     stopped then. Raises if the stream failed or ended before."""

@@ -7,7 +7,8 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from sluice.catalog import rule
+from sluice.catalog import DAY, VALUE, frame, rule
+from sluice.plans import batch
 from sluice.streaming import queries
 from sluice.streaming.stateful import OUTPUT, evaluate_stream, use_rocksdb
 
@@ -69,3 +70,28 @@ def test_a_failed_stream_raises(spark, tmp_path, processing):
     stream = spark.readStream.schema("offset long").option("maxFilesPerTrigger", 1).parquet(f"{at}/in")
     with pytest.raises(Exception, match="stopped on purpose"):
         queries.finish(stream.select(F.when(F.col("offset") >= 0, F.raise_error(F.lit("stopped on purpose"))).cast("long").alias("x")), at, processing=processing)
+
+
+def test_replay_goes_by_ingestion_however_its_files_are_written(spark, monkeypatch):
+    """The first range is by far the largest, so that its file is finished last."""
+    blob = F.when(F.col("id") < 1000, F.expr("array_join(transform(sequence(1, 400), k -> sha2(concat(id, '-', k), 512)), '')")).otherwise("{}")
+    rows = spark.range(3000).select(blob.alias("raw"), F.col("id").alias("offset"), (F.col("id") * 60_000).alias("ingest_ms"))
+    monkeypatch.setattr("sluice.catalog.frame", lambda spark, sf_dir: rows)
+    _, at = queries.replay(spark, "")
+    spans = spark.read.parquet(f"{at}/in").groupBy("_metadata.file_modification_time").agg(F.min("ingest_ms").alias("lo"), F.max("ingest_ms").alias("hi"), F.count_distinct("_metadata.file_name").alias("n")).orderBy("file_modification_time").collect()
+    assert len(spans) == 3 and all(x.n == 1 for x in spans)
+    assert all(a.hi < b.lo for a, b in zip(spans, spans[1:]))
+
+
+def test_streams_equal_the_batch_plan(spark):
+    sf = "/root/testdata/sf0.001"
+    events = frame(spark, sf)
+    last = events.agg(F.max("ingest_ms")).first()[0] - 60_000
+    r = rule("s", keys=("event_type",), size=DAY, aggs=(("cnt", "COUNT", None), ("total", "SUM", VALUE)), having="cnt > 3")
+    want = {(x.group_key, x.window_start_ms): (x.cnt, x.breached) for x in batch.results(events, r).where(F.col("window_end_ms") <= last).collect()}
+    got = queries.stream_tumbling(spark, sf).collect()
+    assert len(got) == len(want) and {(x.group_key, x.window_start_ms): (x.cnt, x.breached) for x in got} == want
+    r = rule("s", keys=("event_type",), size=DAY // 4, having="cnt >= 5", entity_field="_data.user_id")
+    want = {(x.group_key, x.start_ms) for x in batch.anomalies(events, r).collect()}
+    got = queries.stream_anomalies(spark, sf).collect()
+    assert len(got) == len(want) and {(x.group_key, x.window_start_ms) for x in got} == want
