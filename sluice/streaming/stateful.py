@@ -6,17 +6,19 @@ evaluation reads the panes of its window and no others.
 
 from __future__ import annotations
 
+import hashlib
 import json
 import math
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from ..functions.fields import entity, group_key
-from ..operators.aggregates import DISTINCT_CAP, compile_all
+from ..operators.aggregates import DISTINCT_CAP, HLL_BITS, compile_all
 from ..operators.routing import matching
 from ..operators.windows import event_time
 from ..plans.rules import Rule
@@ -151,6 +153,26 @@ def plain_binary(op: str, a, b):
     return "boolean", {"<": operator.lt, "<=": operator.le, ">": operator.gt, ">=": operator.ge}[op](a[1], b[1])
 
 
+#: A sketch without values: a character per register, "0" plus its rank, as that is short in JSON.
+NO_RANKS = "0" * (1 << HLL_BITS)
+
+
+def offer(sketch: str, value: str) -> str:
+    """A HyperLogLog sketch with one more value, from 64 bits of its hash."""
+    h = int.from_bytes(hashlib.blake2b(value.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "big")
+    at, rest = h >> (64 - HLL_BITS), h & ((1 << (64 - HLL_BITS)) - 1)
+    rank = chr(48 + 64 - HLL_BITS - rest.bit_length() + 1)
+    return sketch if sketch[at] >= rank else sketch[:at] + rank + sketch[at + 1 :]
+
+
+def cardinality(sketches: list[str]) -> float:
+    """The estimate over the union of sketches; counted by empty registers where the estimate is small."""
+    ranks = np.max([np.frombuffer(s.encode(), np.uint8) for s in sketches], axis=0) - 48
+    m, empty = len(ranks), int((ranks == 0).sum())
+    raw = 0.7213 / (1 + 1.079 / m) * m * m / np.ldexp(1.0, -ranks.astype(np.int32)).sum()
+    return float(round(m * math.log(m / empty) if empty and raw <= 2.5 * m else raw))
+
+
 class Panes:
     """Partials of one group's panes as plain values; what the state map holds as JSON."""
 
@@ -169,6 +191,8 @@ class Panes:
             if f in ("SUM", "AVG", "MIN", "MAX"):
                 s, c, lo, hi = pane.get(spec.alias, (0.0, 0, math.inf, -math.inf))
                 pane[spec.alias] = (s + v, c + 1, min(lo, v), max(hi, v))
+            elif f == "COUNT_DISTINCT" and spec.high_cardinality:
+                pane[spec.alias] = offer(pane.get(spec.alias, NO_RANKS), v)
             elif f == "COUNT_DISTINCT":
                 held = pane.setdefault(spec.alias, [])
                 if v not in held and len(held) < DISTINCT_CAP:
@@ -180,6 +204,8 @@ class Panes:
             f, parts = spec.function, [p[spec.alias] for p in panes if spec.alias in p]
             if f == "COUNT":
                 out[spec.alias] = float(sum(p["n"] for p in panes))
+            elif f == "COUNT_DISTINCT" and spec.high_cardinality:
+                out[spec.alias] = cardinality(parts) if parts else 0.0
             elif f == "COUNT_DISTINCT":
                 out[spec.alias] = float(len({v for p in parts for v in p}))
             elif f in ("SUM", "AVG", "MIN", "MAX") and parts:
@@ -238,7 +264,7 @@ class Evaluator(StatefulProcessor):
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         w, group, now, out = self.rule.windowing, key[0], self.now(timerValues), []
-        names = [f"_v{k}" for k in range(self.n)]
+        names = [f"v{k}" for k in range(self.n)]
         for part in rows:
             for r in part.sort_values(["ingest_ms", "offset"]).to_dict("records"):
                 at = self.math.floor(int(r["ts_ms"]))
@@ -298,11 +324,11 @@ class Evaluator(StatefulProcessor):
 def evaluate_stream(events: DataFrame, rule: Rule, status_path: str | None = None, early_interval_ms: int | None = EARLY_INTERVAL_MS, watermark: str = WATERMARK) -> DataFrame:
     """Results and anomalies of one windowed rule over a stream in the canonical frame, as rows of OUTPUT told apart by ``kind``.
 
-    Filters and fields are Columns; only the group key, the entity, the time and the aggregates' values reach the state operator. The
-    watermark follows ingestion, as late event times are the rule's own matter.
+    Filters and fields are Columns; only the group key, the entity, the time and the aggregates' values reach the state operator (under names
+    without a leading underscore, which it would replace by numbers). The watermark follows ingestion, as late event times are the rule's own matter.
     """
     key, aggs = group_key(rule.keys), compile_all(rule.aggregations)
-    values = [(a.value if a.value is not None else F.lit(None).cast("double")).alias(a.v) for a in aggs]
+    values = [(a.value if a.value is not None else F.lit(None).cast("double")).alias(f"v{k}") for k, a in enumerate(aggs)]
     rows = matching(events, rule).select(key.alias("group_key"), entity(rule.entity_field, key).alias("entity"), event_time(rule.windowing).alias("ts_ms"), "ingest_ms", "offset", F.timestamp_millis("ingest_ms").alias("ingest_ts"), *values)
     rows = rows.withWatermark("ingest_ts", watermark)
     mode = "eventTime" if rule.windowing.event_time else "processingTime"

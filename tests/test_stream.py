@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from sluice.catalog import DAY, VALUE, frame, rule
 from sluice.plans import batch
 from sluice.streaming import queries
-from sluice.streaming.stateful import OUTPUT, evaluate_stream, use_rocksdb
+from sluice.streaming.stateful import OUTPUT, Panes, evaluate_stream, use_rocksdb
 
 FRAME = "raw string, data string, source_topic string, partition int, offset long, ingest_ms long, event_ms long"
 
@@ -95,3 +95,39 @@ def test_streams_equal_the_batch_plan(spark):
     want = {(x.group_key, x.start_ms) for x in batch.anomalies(events, r).collect()}
     got = queries.stream_anomalies(spark, sf).collect()
     assert len(got) == len(want) and {(x.group_key, x.window_start_ms) for x in got} == want
+
+
+def test_sketched_counts_have_no_cap():
+    high = rule(aggs=(("d", "COUNT_DISTINCT", "_data.u", "HIGH"),))
+    math = Panes(high)
+    panes = [{}, {}]
+    for k in range(120_000):
+        math.add(panes[k % 2], [f"v{k}"])
+        if k in (0, 99, 9_999):
+            assert math.merged(panes)["d"] == pytest.approx(k + 1, rel=0.03)
+    again = json.loads(json.dumps(panes))
+    for k in range(0, 1000):
+        math.add(again[0], [f"v{k}"])
+    math.add(again[0], [None])
+    assert math.merged(again)["d"] == pytest.approx(120_000, rel=0.04)
+    assert math.merged(panes[:1])["d"] == pytest.approx(60_000, rel=0.04)
+    assert math.merged([{"n": 1}])["d"] == 0.0
+
+
+def test_exact_counts_stay_exact_and_capped():
+    math, pane = Panes(rule(aggs=(("d", "COUNT_DISTINCT", "_data.u"),))), {}
+    for v in ("a", "b", "a"):
+        math.add(pane, [v])
+    assert math.merged([pane])["d"] == 2.0 and pane["d"] == ["a", "b"]
+
+
+def test_a_sketched_threshold_in_a_stream(spark, tmp_path):
+    use_rocksdb(spark)
+    day = 86_400_000
+    rows = [("{}", json.dumps({"g": "x", "u": str(k % 300)}), "t", 0, k, 10 * day + k, 10 * day + k) for k in range(900)]
+    spark.createDataFrame(rows, FRAME).coalesce(1).write.parquet(f"file://{tmp_path}/in")
+    r = rule(keys=("_data.g",), aggs=(("d", "COUNT_DISTINCT", "_data.u", "HIGH"),), having="d >= 250")
+    q = evaluate_stream(spark.readStream.schema(FRAME).parquet(f"file://{tmp_path}/in"), r, early_interval_ms=None).writeStream.format("parquet").option("path", str(tmp_path / "out")).option("checkpointLocation", str(tmp_path / "ck")).trigger(availableNow=True).start()
+    q.awaitTermination(120)
+    fired = [json.loads(x.aggregates)["d"] for x in spark.read.schema(OUTPUT).parquet(str(tmp_path / "out")).collect() if x.kind == "anomaly"]
+    assert len(fired) == 1 and fired[0] == pytest.approx(250, rel=0.05)
