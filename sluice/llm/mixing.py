@@ -14,7 +14,7 @@ WEIGHTS = (5, 2, 1)
 BLOCK = 16
 #: Tokens that a shard of a source holds, about; a source of any size is so many shards.
 SHARD = 2_000_000
-#: Quotients that a party offers on either side of its exact share.
+#: Quotients that a party offers on either side of its exact share, at least.
 REACH = 16
 
 
@@ -48,14 +48,18 @@ def targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, percent: int =
 def apportion(parties: DataFrame, by: list[str], party: list[str], weight: str, seats: str, reach: int = REACH) -> DataFrame:
     """``parties`` with an integer ``quota``: the Sainte-Laguë method (highest quotients weight / (2k + 1)) within each group ``by``.
 
-    Seats far below a party's exact share are certain; it competes with the 2 * ``reach`` quotients around the share, so the rows that are
-    ranked are as many as parties, not as seats. Ties go to the earlier party. Parties without weight get none.
+    Seats far below a party's exact share are certain; it competes with the quotients around the share, so the rows that are
+    ranked are as many as parties, not as seats. How far around: a party gets weight / d rounded, for a d by which all rounded numbers add up to
+    the seats, so total / d is within half the parties of the seats, and the party's number within that times its part of the weights, and
+    1/2 for its own rounding. These reaches add up to the parties, too; none is below ``reach``. Ties go to the earlier party. Parties without weight get none.
     """
     group = W.partitionBy(*by) if by else W.partitionBy()
     total = F.sum(weight).over(group)
-    rows = parties.withColumn("_floor", F.when(total > 0, F.greatest(F.floor(F.col(seats) * F.col(weight) / total) - reach, F.lit(0))).otherwise(0).cast("long"))
+    around = F.greatest(F.ceil(F.count("*").over(group) * F.col(weight) / total / 2) + 2, F.lit(reach))
+    rows = parties.withColumn("_reach", F.when(total > 0, around).otherwise(0).cast("long"))
+    rows = rows.withColumn("_floor", F.when(total > 0, F.greatest(F.floor(F.col(seats) * F.col(weight) / total) - F.col("_reach"), F.lit(0))).otherwise(0).cast("long"))
     rows = rows.withColumn("_left", F.col(seats) - F.sum("_floor").over(group))
-    bids = rows.where(F.col(weight) > 0).select(*by, *party, "_left", weight, F.col("_floor"), F.explode(F.sequence(F.lit(0), F.lit(2 * reach))).alias("_k"))
+    bids = rows.where(F.col(weight) > 0).select(*by, *party, "_left", weight, F.col("_floor"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("_reach") * 2)).alias("_k"))
     quotient = F.col(weight) / (2 * (F.col("_floor") + F.col("_k")) + 1)
     rank = F.row_number().over((W.partitionBy(*by) if by else W.partitionBy()).orderBy(quotient.desc(), *party))
     won = bids.withColumn("_rank", rank).where("_rank <= _left").groupBy(*[F.col(c).alias(f"_won_{c}") for c in (*by, *party)]).agg(F.count("*").alias("_won"))

@@ -226,6 +226,15 @@ def test_apportionment(spark):
     assert got == dict.fromkeys(weights, 0) | Counter(p for _, p in best)
 
 
+@pytest.mark.parametrize("small", [0.45, 0.55])
+def test_apportionment_with_very_many_small_parties(spark, small):
+    seats, weights = 1000, {"hot": 1000.0 - 400 * small} | {f"s{k:03}": small for k in range(400)}
+    df = spark.createDataFrame([(p, w, seats) for p, w in weights.items()], "p string, w double, seats long")
+    got = {r.p: r.quota for r in mixing.apportion(df, [], ["p"], "w", "seats").collect()}
+    best = sorted(((-w / (2 * k + 1), p) for p, w in weights.items() for k in range(seats)))[:seats]
+    assert got == dict.fromkeys(weights, 0) | Counter(p for _, p in best) and abs(got["hot"] - weights["hot"]) > 2 * mixing.REACH
+
+
 def test_sentencepiece(spark, docs, rows, none):
     got = subword.encode(docs).collect()
     assert all(r.round_trip for r in got) and len(got) == len(rows)
