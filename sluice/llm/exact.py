@@ -1,4 +1,4 @@
-"""Exact deduplication over an extendible-hash index on shared files."""
+"""Exact deduplication by a hash aggregate and joins; its entries also lie in the bucket files of an extendible-hash index."""
 
 from __future__ import annotations
 
@@ -98,9 +98,9 @@ def exact_dedup(docs: DataFrame, ws: Workspace, id_col: str = "doc_id", text_col
     """One row per row of ``docs``: id, keep_id, group_size, kept, text_sha256.
 
     Entries of the index are one per distinct (64-bit key, length, SHA-256): rows of a group are combined before anything is
-    shuffled, so a group with a third of all rows is one entry. A key's entries form a chain. Owner tasks then
-    compare the bytes of every member with the row that stays; what should differ (never, short of a broken SHA-256) is
-    grouped anew by its whole text.
+    shuffled, so a group with a third of all rows is one entry. The entries are dealt to bucket files, but no owner task looks rows up there
+    by bucket and chain: rows are joined with the entries on (key, n, sha), and members with the row that stays on (key, n), where the
+    texts are compared; what should differ (never, short of a broken SHA-256) is grouped anew by its whole text.
 
     Null texts count as empty. Of equal texts the row with the largest id stays; a null id is smaller than any
     other. Of rows repeated with that very id, each counts as kept. An empty table gives no rows; other columns are ignored.
@@ -110,7 +110,7 @@ def exact_dedup(docs: DataFrame, ws: Workspace, id_col: str = "doc_id", text_col
     rows = ws.save(rows, "rows")
     entries = ws.save(rows.groupBy("key", "n", "sha").agg(F.max("doc_id").alias("keep_id"), F.count("*").alias("group_size")), "entries")
     index, _ = build_index(entries, ws, capacity)
-    # The owner's chain: entries of a key in order; the place in it tells contents with equal keys apart.
+    # Length and SHA-256 tell contents with equal keys apart.
     found = rows.join(index.select("key", "n", "sha", "keep_id", "group_size"), ["key", "n", "sha"])
     if compare_bytes:
         groups = index.where("group_size > 1").select("key", "n", "keep_id")
