@@ -1,4 +1,4 @@
-"""Line deduplication by winnowing over line hashes."""
+"""Line deduplication by whole windows of line hashes."""
 
 from __future__ import annotations
 
@@ -84,9 +84,9 @@ def line_dedup(docs: DataFrame, ws: Workspace, run: int = RUN, words: int | None
     row before (by id, then by text and order of the table for equal ids) or further up in the same text. The first copy stays whole.
     With ``words``, fewer lines in a row are a run too if they have so many words together: a long passage may be one line.
 
-    Every window of ``run`` lines has a fingerprint, the least of its line hashes, which any copy of the window has too. Places with equal
-    fingerprints are joined where the match also extends left and right over the window's lines; of windows that agree on both sides the
-    earliest stays, and longer runs are unions of windows. What is shuffled is a fixed number of bytes per window, and the earliest place
+    Every window is a row, and windows are grouped whole: the key is all its line hashes, as the least of them (fp) and those left and
+    right of it. No fingerprints are selected, and no match is extended beyond its window. Of equal windows the earliest stays, and longer
+    runs are unions of windows. What is shuffled is a fixed number of bytes per window, and the earliest place
     of each is worked out before the join with map-side combining: a common line is spread by its neighbours, a common window is one row per task.
 
     Lines end with \\n; an empty text has none. Null texts are empty. Null ids come first. Extra columns are ignored.
