@@ -104,13 +104,13 @@ def word_batches(vocabulary: Vocabulary, log_p, totals: tuple[int, int, int], kn
 
 
 def document_batches(held, end: tuple[float, float, bool]):
-    """(row, text) to a row per text with what held words give, and a row per text and other word with its count."""
+    """(row, doc_id, train, text) to a row per text with what held words give, and a row per text and other word with its count."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = held.value
         for batch in batches:
             rows, sums, rest = batch.column(0).to_pylist(), [], []
-            for row, text in zip(rows, batch.column(1), strict=True):
+            for row, text in zip(rows, batch.column(3), strict=True):
                 words = Counter(text.as_py().translate(LOWER).split())
                 n, known, base, score = 1, int(end[2]), end[0], end[1]
                 for w, k in words.items():
@@ -128,8 +128,9 @@ def document_batches(held, end: tuple[float, float, bool]):
                     pa.array([None] * len(sums) + [r[1] for r in rest], pa.binary()),
                     pa.array([s[1] for s in sums] + [r[2] for r in rest], pa.int64()),
                     *(pa.array([s[k] for s in sums] + [None] * len(rest), t) for k, t in ((2, pa.int64()), (3, pa.float64()), (4, pa.float64()))),
+                    *(pa.concat_arrays([batch.column(k), pa.nulls(len(rest), batch.column(k).type)]) for k in (1, 2)),
                 ],
-                ["row", "word", "n", "known", "base", "score"],
+                ["row", "word", "n", "known", "base", "score", "doc_id", "train"],
             )
 
     return run
@@ -164,12 +165,12 @@ def lm_scores(docs: DataFrame, train: Column, ws: Workspace, path: str = MODEL,
     top = scored.where("c > 0").orderBy(F.desc("c"), "word").limit(held_words).select("word", "base", "score")
     held = spark.sparkContext.broadcast({bytes(r[0]): (r[1], r[2]) for r in top.collect()})
     end_base, end_score = math.log10((ends + 0.5) / (n + 0.5 * (v + 1))), math.log10(ends / n) if ends else math.log10(0.5 / (n + 0.5 * (v + 1)))
+    # Rows are numbered in one job only, whose output is written: what is read of it is the same for every later step.
     rows = base.select(F.monotonically_increasing_id().alias("row"), "doc_id", "train", "text")
-    kept = ws.save(rows.select("row", "doc_id", "train"), "rows")
-    parts = rows.select("row", "text").mapInArrow(document_batches(held, (end_base, end_score, ends > 0)), "row long, word binary, n long, known long, base double, score double")
+    parts = rows.mapInArrow(document_batches(held, (end_base, end_score, ends > 0)), "row long, word binary, n long, known long, base double, score double, doc_id long, train boolean")
     parts = ws.save(parts, "parts")
     others = parts.where("word is not null").select("row", "word", "n").join(scored, "word")
     others = others.select("row", F.lit(0).cast("long").alias("n"), F.when(F.col("c") > 0, F.col("n")).otherwise(0).alias("known"), (F.col("base") * F.col("n")).alias("base"), (F.col("score") * F.col("n")).alias("score"))
-    whole = parts.where("word is null").select("row", "n", "known", "base", "score").unionByName(others)
-    sums = whole.groupBy("row").agg(F.sum("n").alias("n"), F.sum("known").alias("known"), F.sum("base").alias("base"), F.sum("score").alias("score"))
-    return kept.join(sums, "row").select("doc_id", (~F.col("train")).alias("held_out"), F.col("n").alias("n_tokens"), F.col("known").alias("n_known"), F.lit(n).cast("long").alias("train_tokens"), F.col("base").alias("base_score"), "score")
+    whole = parts.where("word is null").drop("word").unionByName(others, allowMissingColumns=True)
+    sums = whole.groupBy("row").agg(*(F.sum(c).alias(c) for c in ("n", "known", "base", "score")), F.max("doc_id").alias("doc_id"), F.max("train").alias("train"))
+    return sums.select("doc_id", (~F.col("train")).alias("held_out"), F.col("n").alias("n_tokens"), F.col("known").alias("n_known"), F.lit(n).cast("long").alias("train_tokens"), F.col("base").alias("base_score"), "score")
