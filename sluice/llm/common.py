@@ -20,9 +20,11 @@ LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
 
 
 def shared_root(spark: SparkSession) -> str:
-    """The folder that driver and executors share; set to a temporary one only where the session names none."""
+    """The folder that driver and executors share; set to a temporary one only where a local session names none."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         root = "file://" + tempfile.mkdtemp(prefix="sluice-")
         spark.conf.set("spark.checkpoint.dir", root)
     return root.rstrip("/")
@@ -62,6 +64,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def fresh(df: DataFrame, *names: str) -> list[str]:
+    """Names like ``names`` that no column of ``df`` has, in whatever case."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
 def text_of(column: str = "text") -> Column:
     """The text's UTF-8 bytes, null as empty."""
     return F.coalesce(F.col(column), F.lit("")).cast("binary")
