@@ -40,10 +40,16 @@ def valid_pattern(pattern: str) -> bool:
     return True
 
 
-def leaf(node: dict[str, Any], sets: dict[str, frozenset[str] | DataFrame] | None = None) -> Column:
-    """One condition. A missing field satisfies IS_NULL and NOT_EQUALS only; unknown operators and bad values satisfy nothing."""
+#: Operators that test one field against a set that the caller supplies under the operator's name, whatever the condition's field and value.
+SET_OPERATORS = {"IS_FINANCIAL_AUA": "_data.aua"}
+
+
+def leaf(node: dict[str, Any], sets: dict[str, frozenset[str]] | None = None) -> Column:
+    """One condition. A missing field satisfies IS_NULL and NOT_EQUALS only; unknown operators, bad values and sets that aren't supplied satisfy nothing."""
     op = str(node.get("operator") or "").strip().upper()
     no = F.lit(False)
+    if op in SET_OPERATORS:
+        node, op = {"field": SET_OPERATORS[op], "value": op}, "IN_SET"
     if op == "IN_SET":  # membership in a set that the caller supplies by name
         members = (sets or {}).get(node.get("value"))
         return F.coalesce(extract(node.get("field")).isin(sorted(members)), no) if members else no
