@@ -19,6 +19,9 @@ def scratch(spark: SparkSession) -> str:
     if not root:
         import tempfile
 
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
+
         root = "file://" + tempfile.mkdtemp(prefix="sluice-")
         spark.conf.set("spark.checkpoint.dir", root)
     return f"{root.rstrip('/')}/stream-{uuid.uuid4().hex}"
@@ -110,5 +113,16 @@ def stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.schema(out.schema).parquet(f"{at}/out").select(F.col("offset").alias("event_id"))
 
 
+def oracle_sql() -> dict[str, str]:
+    """The same from tables: windows that end before the watermark (the last ingestion less 60 s), and events in the order of ingestion."""
+    from ..catalog import DAY, EV, HOUR, early_sql, windowed_sql
+
+    return {
+        "stream_tumbling": f"""SELECT * FROM ({windowed_sql("CAST(count(*) AS DOUBLE) AS cnt", "cnt > 3", "s", size=DAY, slide=DAY, key="kind")}) WHERE window_end_ms <= (SELECT max(ingest_ms) - 60000 FROM ({EV} SELECT ingest_ms FROM ev))""",
+        "stream_anomalies": f"""{early_sql(6 * HOUR, 6 * HOUR, "count(*) OVER o AS cnt", "cnt >= 5")} SELECT 's' AS rule_id, group_key, uid AS entity, pane AS window_start_ms, FALSE AS is_final FROM e WHERE n = 1""",
+        "stream_dedup": f"""{EV}, o AS (SELECT event_id, row_number() OVER (PARTITION BY uid, topic ORDER BY ingest_ms, event_id) AS n FROM ev) SELECT event_id FROM o WHERE n = 1""",
+    }
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (stream_tumbling, stream_anomalies, stream_dedup)}

@@ -1,7 +1,7 @@
 """Stateful operators for streams: refreshed-TTL deduplication and the windowed rule evaluator.
 
-Both run with ``transformWithStateInPandas`` on the RocksDB state store. State is kept per pane, in one map of structs, so an
-evaluation reads the panes of its window and no others.
+Both run with ``transformWithStateInPandas`` on the RocksDB state store. State is kept per pane, in one map, so an
+evaluation reads the panes of its window and no others; a batch reads and writes each pane it touches once.
 """
 
 from __future__ import annotations
@@ -9,7 +9,8 @@ from __future__ import annotations
 import hashlib
 import json
 import math
-from collections.abc import Iterator
+import time
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -17,6 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
+from ..functions import having
 from ..functions.fields import entity, group_key
 from ..operators.aggregates import DISTINCT_CAP, HLL_BITS, compile_all
 from ..operators.routing import matching
@@ -26,6 +28,7 @@ from ..plans.rules import Rule
 STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 DEDUP_TTL_MS = 900_000
 EARLY_INTERVAL_MS = 3_000
+STATE_TTL_MS = 7_200_000
 WATERMARK = "60 seconds"
 OUTPUT = "rule_id string, kind string, group_key string, entity string, window_start_ms long, window_end_ms long, aggregates string, breached boolean, is_final boolean"
 
@@ -44,11 +47,14 @@ class Dedup(StatefulProcessor):
         self.seen = handle.getValueState("seen", "at long", ttlDurationMs=self.ttl_ms)
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        known = self.seen.exists()
+        known, first = self.seen.exists(), None
         for part in rows:
             if not known and len(part):
-                known = True
-                yield part.drop(columns="_key", errors="ignore").sort_values(["ingest_ms", "offset"]).iloc[:1]
+                least = part.drop(columns="_key", errors="ignore").sort_values(["ingest_ms", "offset"]).iloc[:1]
+                at = tuple(least[["ingest_ms", "offset"]].iloc[0])
+                first = (at, least) if first is None or at < first[0] else first
+        if first is not None:
+            yield first[1]
         self.seen.update((timerValues.getCurrentProcessingTimeInMs(),))
 
     def close(self) -> None:
@@ -61,98 +67,6 @@ def dedup_stream(events: DataFrame, key, ttl_ms: int = DEDUP_TTL_MS) -> DataFram
     return rows.groupBy("_key").transformWithStateInPandas(statefulProcessor=Dedup(ttl_ms), outputStructType=events.schema, outputMode="Append", timeMode="processingTime")
 
 
-def evaluate_text(text: str | None, values: dict[str, float]) -> bool:
-    """A threshold over aggregates, by the same grammar as the compiled one but on plain numbers."""
-    from ..functions import having as H
-
-    if not text or not text.strip():
-        return False
-
-    class Plain(H.Parser):
-        def unary(self):
-            kind, word = self.take()
-            if (kind, word) == ("op", "-"):
-                return "number", -plain_number(self.unary())
-            if (kind, word) == ("op", "!"):
-                return "boolean", not plain_truth(self.unary())
-            if (kind, word) == ("op", "("):
-                inside = self.expression(0)
-                self.take(")")
-                return inside
-            if kind == "number":
-                return "number", float(word)
-            if kind == "string":
-                return "string", word
-            if kind == "name":
-                if word in ("true", "false"):
-                    return "boolean", word == "true"
-                return ("number", values[word]) if word in values else ("null", None)
-            raise H.BadExpression(f"{word or 'the end'!r} is not expected")
-
-        def expression(self, least: int):
-            left = self.unary()
-            while self.peek()[0] == "op" and H.POWER.get(self.peek()[1], 0) > least:
-                op = self.take()[1]
-                if op == "?":
-                    yes = self.expression(0)
-                    self.take(":")
-                    no = self.expression(0)
-                    left = yes if plain_truth(left) else no
-                else:
-                    left = plain_binary(op, left, self.expression(H.POWER[op]))
-            return left
-
-    try:
-        kind, value = Plain(text, lambda _: None).whole()
-    except H.BadExpression:
-        return False
-    return kind == "boolean" and bool(value)
-
-
-def plain_number(v) -> float:
-    from ..functions.having import BadExpression
-
-    if v[0] == "boolean":
-        raise BadExpression("arithmetic with a boolean")
-    try:
-        return 0.0 if v[1] is None else float(v[1])
-    except ValueError:
-        return 0.0
-
-
-def plain_truth(v) -> bool:
-    kind, x = v
-    return x if kind == "boolean" else (x != 0 and not math.isnan(x)) if kind == "number" else kind == "string" and x.lower() == "true"
-
-
-def plain_binary(op: str, a, b):
-    import operator
-    import re
-
-    from ..functions.having import BadExpression
-
-    if op in ("&&", "||"):
-        return "boolean", (plain_truth(a) and plain_truth(b)) if op == "&&" else (plain_truth(a) or plain_truth(b))
-    if op in ("+", "-", "*", "/", "%"):
-        x, y = plain_number(a), plain_number(b)
-        if op in "/%":
-            return "number", 0.0 if y == 0 else x / y if op == "/" else math.fmod(x, y)
-        return "number", {"+": operator.add, "-": operator.sub, "*": operator.mul}[op](x, y)
-    if op == "=~":
-        if a[0] != "string" or b[0] != "string":
-            raise BadExpression("=~ needs strings")
-        return "boolean", bool(re.fullmatch(b[1], a[1]))
-    if {a[0], b[0]} == {"number", "string"}:
-        a, b = ("number", plain_number(a)), ("number", plain_number(b))
-    elif len({a[0], b[0]} - {"null"}) > 1:
-        raise BadExpression(f"{op} between {a[0]} and {b[0]}")
-    if op in ("==", "!="):
-        return "boolean", (a[1] == b[1]) == (op == "==")
-    if None in (a[1], b[1]):
-        return "boolean", False
-    return "boolean", {"<": operator.lt, "<=": operator.le, ">": operator.gt, ">=": operator.ge}[op](a[1], b[1])
-
-
 #: A sketch without values: a character per register, "0" plus its rank, as that is short in JSON.
 NO_RANKS = "0" * (1 << HLL_BITS)
 
@@ -194,9 +108,9 @@ class Panes:
             elif f == "COUNT_DISTINCT" and spec.high_cardinality:
                 pane[spec.alias] = offer(pane.get(spec.alias, NO_RANKS), v)
             elif f == "COUNT_DISTINCT":
-                held = pane.setdefault(spec.alias, [])
-                if v not in held and len(held) < DISTINCT_CAP:
-                    held.append(v)
+                held = pane.setdefault(spec.alias, {})  # a dict keeps the order of arrival, is looked up in one step, and goes into JSON as its keys
+                if len(held) < DISTINCT_CAP:
+                    held[v] = 1
 
     def merged(self, panes: list[dict]) -> dict[str, float]:
         out = {}
@@ -221,31 +135,36 @@ class Evaluator(StatefulProcessor):
 
     A window closes when the watermark passes its end, or for processing-time rules when the wall clock does. Panes before the window less the
     allowed lateness are dropped then, of all aliases. A late event within the lateness emits its window again at once, not final;
-    one beyond it is still added, and its timer makes a second final row. ``status`` is read at every close: results of a rule that
-    is no longer active are not emitted.
+    one beyond it is still added, and its timer makes a second final row. ``status`` gives the rule's present status at a close (None: unknown, as it was):
+    results of a rule that is no longer active are not emitted. State of a group without events for ``ttl_ms`` goes.
     """
 
-    def __init__(self, rule: Rule, n_values: int, status_path: str | None = None, early_interval_ms: int | None = EARLY_INTERVAL_MS):
-        self.rule, self.n, self.status_path, self.early = rule, n_values, status_path, early_interval_ms
+    def __init__(self, rule: Rule, n_values: int, status: Callable[[str], str | None] | None = None, early_interval_ms: int | None = EARLY_INTERVAL_MS, ttl_ms: int = STATE_TTL_MS):
+        self.rule, self.n, self.status, self.early, self.ttl = rule, n_values, status, early_interval_ms, ttl_ms
+        self.read_at, self.live, self.open = None, None, {}
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
+        self.touched = handle.getValueState("touched", "at long")
         self.panes = handle.getMapState("panes", "pane long", "part string")
         self.fired = handle.getMapState("fired", "start long", "at long")
         self.last_early = handle.getValueState("last_early", "at long")
         self.math = Panes(self.rule)
 
     def active(self) -> bool:
-        if self.status_path is None:
-            return self.rule.active
-        try:
-            with open(self.status_path) as f:
-                return str(json.load(f).get(self.rule.rule_id, "DELETED")).upper() == "ACTIVE"
-        except (OSError, ValueError):
+        """Whether the rule may emit now. The status file is read from the shared folder at most once a second."""
+        if self.status is None:
             return self.rule.active
+        clock = time.monotonic()
+        if self.read_at is None or clock - self.read_at >= 1:
+            self.read_at, self.live = clock, self.status(self.rule.rule_id)
+        return self.rule.active if self.live is None else self.live.upper() == "ACTIVE"
 
     def of(self, pane: int) -> dict | None:
-        return json.loads(self.panes.getValue((pane,))[0]) if self.panes.containsKey((pane,)) else None
+        """A pane's partials: as this batch has them, else from the state."""
+        if pane not in self.open:
+            self.open[pane] = json.loads(self.panes.getValue((pane,))[0]) if self.panes.containsKey((pane,)) else None
+        return self.open[pane]
 
     def window(self, end: int) -> tuple[int, list[dict]]:
         w = self.rule.windowing
@@ -256,30 +175,40 @@ class Evaluator(StatefulProcessor):
     def row(self, kind: str, group: str, who: str, start: int, end: int, values: dict[str, float], breached: bool, final: bool) -> dict:
         return {"rule_id": self.rule.rule_id, "kind": kind, "group_key": group, "entity": who, "window_start_ms": start, "window_end_ms": end, "aggregates": json.dumps(values), "breached": breached, "is_final": final}
 
+    def idle(self, clock: int) -> bool:
+        """Whether the last event's pane ended (in processing time: the last event came) the TTL before ``clock``, and every window that holds it has closed.
+
+        The store expires no event-time state by itself. The clock is that of the timers, one window after another, so none is skipped however far a
+        batch moves the watermark.
+        """
+        w = self.rule.windowing
+        last = self.touched.get()[0] if self.touched.exists() else None
+        return last is not None and clock - last >= max(self.ttl, w.size_ms + w.slide + w.allowed_lateness_ms)
+
     def now(self, timers) -> int:
         return timers.getCurrentWatermarkInMs() if self.rule.windowing.event_time else timers.getCurrentProcessingTimeInMs()
 
-    def timer_for(self, at: int, now: int) -> None:
-        self.handle.registerTimer(max(at, now + 1) if at <= now else at)
-
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         w, group, now, out = self.rule.windowing, key[0], self.now(timerValues), []
         names = [f"v{k}" for k in range(self.n)]
-        for part in rows:
+        self.open, timers, touched = {}, set(), set()
+        parts = list(rows)  # one group's events of one batch, in the order of ingestion whatever the Arrow chunks
+        for part in [pd.concat(parts)] if parts else []:
             for r in part.sort_values(["ingest_ms", "offset"]).to_dict("records"):
                 at = self.math.floor(int(r["ts_ms"]))
-                pane = self.of(at) or {}
+                pane = self.of(at)
+                if pane is None:
+                    pane = self.open[at] = {}
                 self.math.add(pane, [None if v is None or v != v else v for v in (r.get(n) for n in names)])
-                self.panes.updateValue((at,), (json.dumps(pane),))
+                touched.add(at)
                 end = at + w.slide
-                clock = end if w.event_time else self.math.floor(now) + w.slide
-                self.handle.registerTimer(clock)
+                timers.add(end if w.event_time else self.math.floor(now) + w.slide)
                 if w.event_time and self.rule.sinks.agg and end <= now < end + w.allowed_lateness_ms:
                     start, panes = self.window(end)
                     values = self.math.merged(panes)
-                    out.append(self.row("result", group, group, start, end, values, evaluate_text(self.rule.having, values), False))
+                    out.append(self.row("result", group, group, start, end, values, having.evaluate(self.rule.having, values), False))
                 values = self.math.merged([pane])
-                breached = evaluate_text(self.rule.having, values)
+                breached = having.evaluate(self.rule.having, values)
                 if (self.rule.sinks.anomaly or self.rule.sinks.anomaly_store) and breached and not self.fired.containsKey((at,)):
                     self.fired.updateValue((at,), (now,))
                     who = r.get("entity")
@@ -290,18 +219,33 @@ class Evaluator(StatefulProcessor):
                     if before is None or clock_ms - before >= self.early:
                         self.last_early.update((clock_ms,))
                         out.append(self.row("early", group, group, at, end, values, breached, False))
+        for at in touched:
+            self.panes.updateValue((at,), (json.dumps(self.open[at]),))
+        self.open = {}
+        for clock in timers:
+            self.handle.registerTimer(clock)
+        if touched:
+            last = self.touched.get()[0] if self.touched.exists() else 0
+            self.touched.update((max(last, max(touched) + w.slide) if w.event_time else now,))
         if out:
             yield pd.DataFrame(out)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         w, group, end = self.rule.windowing, key[0], expiredTimerInfo.getExpiryTimeInMs()
+        self.open = {}
+        if self.idle(end if w.event_time else self.now(timerValues)):
+            self.panes.clear()
+            self.fired.clear()
+            self.touched.clear()
+            return
         if not self.active():
+            self.handle.registerTimer(end + w.slide)  # looked at again later, until the state is too old
             return
         start, panes = self.window(end)
         out = []
         if sum(p["n"] for p in panes):
             values = self.math.merged(panes)
-            breached = evaluate_text(self.rule.having, values)
+            breached = having.evaluate(self.rule.having, values)
             if self.rule.sinks.agg:
                 out.append(self.row("result", group, group, start, end, values, breached, True))
             if breached and (self.rule.sinks.anomaly or self.rule.sinks.anomaly_store) and not self.fired.containsKey((start,)):
@@ -321,7 +265,26 @@ class Evaluator(StatefulProcessor):
         pass
 
 
-def evaluate_stream(events: DataFrame, rule: Rule, status_path: str | None = None, early_interval_ms: int | None = EARLY_INTERVAL_MS, watermark: str = WATERMARK) -> DataFrame:
+def status_file(path: str) -> Callable[[str], str | None]:
+    """Statuses by rule id from a JSON file in a folder that all executors share (a mounted path, or a URL that pyarrow's file systems read).
+
+    A rule that the file lacks is deleted; an unreadable file tells nothing.
+    """
+
+    def read(rule_id: str) -> str | None:
+        from pyarrow import fs
+
+        try:
+            store, at = fs.FileSystem.from_uri(path) if "://" in path else (fs.LocalFileSystem(), path)
+            with store.open_input_stream(at) as f:
+                return str(json.loads(f.read()).get(rule_id, "DELETED"))
+        except (OSError, ValueError):
+            return None
+
+    return read
+
+
+def evaluate_stream(events: DataFrame, rule: Rule, status: Callable[[str], str | None] | None = None, early_interval_ms: int | None = EARLY_INTERVAL_MS, watermark: str = WATERMARK, ttl_ms: int = STATE_TTL_MS) -> DataFrame:
     """Results and anomalies of one windowed rule over a stream in the canonical frame, as rows of OUTPUT told apart by ``kind``.
 
     Filters and fields are Columns; only the group key, the entity, the time and the aggregates' values reach the state operator (under names
@@ -332,7 +295,7 @@ def evaluate_stream(events: DataFrame, rule: Rule, status_path: str | None = Non
     rows = matching(events, rule).select(key.alias("group_key"), entity(rule.entity_field, key).alias("entity"), event_time(rule.windowing).alias("ts_ms"), "ingest_ms", "offset", F.timestamp_millis("ingest_ms").alias("ingest_ts"), *values)
     rows = rows.withWatermark("ingest_ts", watermark)
     mode = "eventTime" if rule.windowing.event_time else "processingTime"
-    return rows.groupBy("group_key").transformWithStateInPandas(statefulProcessor=Evaluator(rule, len(aggs), status_path, early_interval_ms), outputStructType=OUTPUT, outputMode="Append", timeMode=mode)
+    return rows.groupBy("group_key").transformWithStateInPandas(statefulProcessor=Evaluator(rule, len(aggs), status, early_interval_ms, ttl_ms), outputStructType=OUTPUT, outputMode="Append", timeMode=mode)
 
 
 def kinds(batch: DataFrame) -> tuple[DataFrame, DataFrame]:

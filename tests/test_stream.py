@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from sluice.catalog import DAY, VALUE, frame, rule
 from sluice.plans import batch
 from sluice.streaming import queries
-from sluice.streaming.stateful import OUTPUT, Panes, evaluate_stream, use_rocksdb
+from sluice.streaming.stateful import OUTPUT, Evaluator, Panes, evaluate_stream, status_file, use_rocksdb
 
 FRAME = "raw string, data string, source_topic string, partition int, offset long, ingest_ms long, event_ms long"
 
@@ -118,7 +118,108 @@ def test_exact_counts_stay_exact_and_capped():
     math, pane = Panes(rule(aggs=(("d", "COUNT_DISTINCT", "_data.u"),))), {}
     for v in ("a", "b", "a"):
         math.add(pane, [v])
-    assert math.merged([pane])["d"] == 2.0 and pane["d"] == ["a", "b"]
+    assert math.merged([json.loads(json.dumps(pane))])["d"] == 2.0 and list(pane["d"]) == ["a", "b"]
+    for k in range(60_000):
+        math.add(pane, [str(k)])
+    assert math.merged([pane])["d"] == 50_000.0
+
+
+def run_files(spark, tmp_path, r, batches, **more):
+    """Rows of OUTPUT from batches of (group, event ms, ingestion ms), one file each, relative to a pane's start; and that start."""
+    use_rocksdb(spark)
+    w = r.windowing
+    base = 864_000_000 - (864_000_000 - w.offset) % w.slide
+    os.makedirs(tmp_path / "in")
+    for k, rows in enumerate(batches):
+        out = pd.DataFrame([("{}", json.dumps({"u": u}), "t", 0, 1000 * k + j, base + ka, base + ev) for j, (u, ev, ka) in enumerate(rows)], columns=["raw", "data", "source_topic", "partition", "offset", "ingest_ms", "event_ms"])
+        out["partition"] = out["partition"].astype("int32")
+        out.to_parquet(tmp_path / "in" / f"{k}.parquet")
+        os.utime(tmp_path / "in" / f"{k}.parquet", (1000 + k, 1000 + k))
+    stream = spark.readStream.schema(FRAME).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
+    q = evaluate_stream(stream, r, watermark="0 seconds", **more).writeStream.format("parquet").option("path", str(tmp_path / "out")).option("checkpointLocation", str(tmp_path / "ck")).trigger(availableNow=True).start()
+    q.awaitTermination()
+    return spark.read.schema(OUTPUT).parquet(str(tmp_path / "out")).collect(), base
+
+
+def test_early_rows_are_throttled(spark, tmp_path):
+    r = rule(keys=("_data.u",), size=1000)
+    rows, base = run_files(spark, tmp_path, r, [[("a", k, k) for k in range(50)], [("a", 3000, 3000)]], early_interval_ms=3_600_000)
+    early = [(x.window_start_ms - base, json.loads(x.aggregates)["cnt"], x.is_final) for x in rows if x.kind == "early"]
+    assert early == [(0, 1.0, False)]  # the first event's; the interval lets no other through
+    assert [(x.window_start_ms - base, json.loads(x.aggregates)["cnt"]) for x in rows if x.kind == "result"] == [(0, 50.0)]
+
+
+def test_a_rule_that_is_switched_off_emits_nothing_at_the_close(spark, tmp_path):
+    (tmp_path / "status.json").write_text(json.dumps({"other": "ACTIVE"}))
+    r = rule(keys=("_data.u",), size=1000)
+    rows, _ = run_files(spark, tmp_path, r, [[("a", 10, 10)], [("a", 3000, 3000)], [("a", 6000, 6000)]], early_interval_ms=None, status=status_file(str(tmp_path / "status.json")))
+    assert rows == []
+
+
+class Held:
+    """State and timers of one group, in memory."""
+
+    def __init__(self):
+        self.maps, self.values, self.timers, self.mark = {}, {}, set(), 0
+
+    def getMapState(self, name, *_):
+        held = self.maps.setdefault(name, {})
+
+        class Map:
+            containsKey, keys, clear = staticmethod(held.__contains__), staticmethod(lambda: list(held)), staticmethod(held.clear)
+            getValue, updateValue, removeKey = staticmethod(held.get), staticmethod(held.__setitem__), staticmethod(held.pop)
+
+        return Map
+
+    def getValueState(self, name, *_):
+        values = self.values
+
+        class Value:
+            exists, get = staticmethod(lambda: name in values), staticmethod(lambda: values[name])
+            update, clear = staticmethod(lambda v: values.__setitem__(name, v)), staticmethod(lambda: values.pop(name, None))
+
+        return Value
+
+    def registerTimer(self, at):
+        self.timers.add(at)
+
+    def getCurrentWatermarkInMs(self):
+        return self.mark
+
+    def getCurrentProcessingTimeInMs(self):
+        return 5
+
+    def getExpiryTimeInMs(self):
+        return self.now
+
+
+def drive(evaluator, held, rows, until):
+    """One batch of (event ms, value), then all timers up to ``until``, in order."""
+    out = []
+    if rows:
+        frame = pd.DataFrame([(ms, k, ms, "e") for k, (ms, _) in enumerate(rows)], columns=["ts_ms", "offset", "ingest_ms", "entity"])
+        out += list(evaluator.handleInputRows(("g",), iter([frame[:1], frame[1:]]), held))
+    held.mark = until
+    while due := sorted(t for t in held.timers if t <= until):
+        held.timers.discard(due[0])
+        held.now = due[0]
+        out += list(evaluator.handleExpiredTimer(("g",), held, held))
+    return [r for f in out for r in f.to_dict("records")]
+
+
+def test_state_of_a_rule_that_is_off_goes_after_the_ttl():
+    status = {"now": "PAUSED"}
+    held, r = Held(), rule(size=1000)
+    e = Evaluator(r, 1, lambda _: status["now"], None, ttl_ms=10_000)
+    e.init(held)
+    off = r.windowing.offset
+    assert drive(e, held, [(off + 10, 1), (off + 20, 1)], off + 5_000) == [] and held.maps["panes"]
+    assert drive(e, held, [], off + 60_000) == [] and not held.maps["panes"] and not held.timers
+    status["now"] = "ACTIVE"
+    e.read_at = None
+    got = drive(e, held, [(off + 70_010, 1), (off + 95_000, 1)], off + 200_000)
+    assert [(x["window_start_ms"] - off, json.loads(x["aggregates"])["cnt"]) for x in got] == [(70_000, 1.0), (95_000, 1.0)]
+    assert not held.timers and not held.maps["panes"]
 
 
 def test_a_sketched_threshold_in_a_stream(spark, tmp_path):
