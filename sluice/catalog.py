@@ -35,7 +35,10 @@ EV = """
 
 
 def frame(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return from_table(spark.read.parquet(f"{sf_dir}/events.parquet"))
+    """The fixture's events. A table of fewer splits than cores is dealt to all of them, as its rows are made into JSON and parsed again."""
+    events = spark.read.parquet(f"{sf_dir}/events.parquet")
+    cores = spark.sparkContext.defaultParallelism
+    return from_table(events.repartition(cores, "event_id") if events.rdd.getNumPartitions() < cores else events)
 
 
 def cond(field: str, operator: str, value=None, **more) -> dict:
@@ -201,12 +204,45 @@ SPECS |= {
 }
 
 
-@query("win_none_stateless", f"{EV} SELECT 'n' AS rule_id, uid AS entity, event_id AS offset, event_ms, 60 AS penalty_ttl_seconds FROM ev WHERE num > 10 AND amount > 400 AND lower(kind) = 'purchase' AND kind = 'purchase'")
+@query("win_none_stateless", f"{EV} SELECT 'n' AS rule_id, uid AS entity, event_id AS offset, event_ms, 60 AS penalty_ttl_seconds FROM ev WHERE num > 10 AND amount > 100 AND kind = 'purchase'")
 def _(spark, sf_dir):
-    r = rule("n", kind="NONE", filters=group("AND", BIG, cond("event_type", "EQUALS", "purchase")), having="amount > 400 && event_type == 'purchase'", entity_field="_data.user_id", ttl=60)
+    r = rule("n", kind="NONE", filters=group("AND", BIG, cond("event_type", "EQUALS", "purchase")), having="amount > 100 && event_type == 'purchase'", entity_field="_data.user_id", ttl=60)
     return batch.stateless_anomalies(frame(spark, sf_dir), r)
 
 
+#: Stateless thresholds on fields of every JSON type: (expression, SQL over the fixture's events).
+STATELESS = {
+    "none_number_number": ("amount_n > k_n * 5", "amount > k * 5"),
+    "none_number_text": ("amount == amount_n", "amount IS NOT NULL"),
+    "none_text_order": ("event_type < 'p'", "kind < 'p'"),
+    "none_boolean": ("flag == true && flag", "event_id % 2 = 0"),
+    "none_boolean_alone": ("flag", "event_id % 2 = 0"),
+    "none_null": ("gone == null && amount_n != null", "TRUE"),
+    "none_order_of_null": ("gone < 5 || gone >= 0", "FALSE"),
+    "none_text_is_no_number": ("event_type > 1 || event_type != 1", "FALSE"),
+    "none_text_tests": ("event_type =^ 'p' || event_type =$ 'k' || event_type =~ '[A-Z]+'", "starts_with(kind, 'p') OR ends_with(kind, 'k') OR regexp_full_match(kind, '[A-Z]+')"),
+    "none_empty_elvis": ("empty(gone) && size(event_type) > 5 && (gone ?? k_n) > 20 && (flag ?: true)", "length(kind) > 5 AND k > 20"),
+    "none_payload_is_text": ("_data.k > 0", "FALSE"),
+}
+
+
+def stateless(text: str) -> Callable[[SparkSession, str], DataFrame]:
+    """A rule without window over events with numbers, booleans and nulls at the top, which the other queries' events lack."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        k = F.get_json_object("data", "$.props.k").cast("long")
+        more = F.to_json(F.struct(F.get_json_object("raw", "$.amount").cast("double").alias("amount_n"), k.alias("k_n"), (F.col("offset") % 2 == 0).alias("flag")))
+        raw = F.concat(F.substring(more, F.lit(1), F.length(more) - 1), F.lit(',"gone":null,'), F.substring("raw", 2, 1 << 30))
+        out = batch.stateless_anomalies(frame(spark, sf_dir).withColumn("raw", raw), rule("n", kind="NONE", keys=("event_type",), having=text))
+        return out.select(F.col("offset").alias("event_id"), "entity")
+
+    return run
+
+
+for _name, (_text, _sql) in STATELESS.items():
+    SPECS[_name] = (stateless(_text), f"{EV} SELECT event_id, kind AS entity FROM ev WHERE coalesce({_sql}, FALSE)")
+
+
 @query("agg_hll", windowed_sql("TRUE AS close", size=30 * DAY, slide=30 * DAY, key="kind").replace("FALSE AS breached", "TRUE AS ok"))
 def _(spark, sf_dir):
     spec = (("approx", "COUNT_DISTINCT", "_data.user_id", "HIGH"), ("exact", "COUNT_DISTINCT", "_data.user_id"))
@@ -400,6 +436,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {k: sql for k, (_, sql) in SPECS.items() if sql}
+    from .streaming.queries import oracle_sql as streams
+
+    return {k: sql for k, (_, sql) in SPECS.items() if sql} | streams()
 
 

@@ -1,10 +1,14 @@
-"""Aggregates as partial, merge and final Columns, so that panes are shared by overlapping windows."""
+"""Aggregates as partial, merge and final Columns, so that panes are shared by overlapping windows.
+
+An exact distinct count keeps DISTINCT_CAP values of a pane at most, whatever the window: a window counts that many times its panes at most.
+"""
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
 from pyspark.sql import Column
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.fields import extract, number
@@ -77,11 +81,17 @@ class Compiled:
             out = by.get(f, lambda: F.lit(0.0))()
         return F.coalesce(out.cast("double"), F.lit(0.0)).alias(self.spec.alias)
 
+    def fresh(self, keys: list[str], order: list[str]) -> Column:
+        """Whether a value of a distinct count is the first of its group in ``order``, as 1 or 0; its running sum is the running count."""
+        first = F.row_number().over(W.partitionBy(*keys, self.v).orderBy(*order)) == 1
+        return F.when(F.col(self.v).isNotNull() & first, 1).otherwise(0).alias(f"{self.v}_fresh")
+
     def running(self, over) -> Column:
-        """After each event, within a window specification up to that event."""
+        """After each event, within a window specification up to that event; distinct counts are over ``fresh``."""
         f, v = self.spec.function, F.col(self.v)
-        by = {"COUNT": lambda: F.count(F.lit(1)).over(over), "SUM": lambda: F.sum(v).over(over), "AVG": lambda: F.avg(v).over(over), "MIN": lambda: F.min(v).over(over), "MAX": lambda: F.max(v).over(over), "COUNT_DISTINCT": lambda: F.size(F.collect_set(v).over(over))}
-        return F.coalesce(by.get(f, lambda: F.lit(0.0))().cast("double"), F.lit(0.0)).alias(self.spec.alias)
+        by = {"COUNT": lambda: F.count(F.lit(1)).over(over), "SUM": lambda: F.sum(v).over(over), "AVG": lambda: F.avg(v).over(over), "MIN": lambda: F.min(v).over(over), "MAX": lambda: F.max(v).over(over), "COUNT_DISTINCT": lambda: F.sum(f"{self.v}_fresh").over(over)}
+        out = by.get(f, lambda: F.lit(0.0))()
+        return F.coalesce((F.least(out, F.lit(DISTINCT_CAP)) if self.exact else out).cast("double"), F.lit(0.0)).alias(self.spec.alias)
 
 
 def compile_all(specs: tuple[Aggregation, ...]) -> list[Compiled]:

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..functions.fields import json_at
 from ..functions.times import floor_to_slide, parse_ms
 from ..plans.rules import DEFAULT_TIME_FIELD, Windowing
-from .aggregates import Compiled
+from .aggregates import DISTINCT_CAP, Compiled
 
 
 def event_time(w: Windowing) -> Column:
@@ -23,31 +23,39 @@ def pane_of(w: Windowing) -> Column:
     return floor_to_slide(event_time(w), w.slide, w.offset)
 
 
-def to_windows(panes: DataFrame, w: Windowing, pane: str = "pane") -> DataFrame:
+def to_windows(panes: DataFrame, size: Column, slide: Column, pane: str = "pane") -> DataFrame:
     """Each pane with every window that holds it. Windows end on the slide grid and are size long; a pane counts if it starts in one.
 
     So a size that the slide doesn't divide makes windows of whole panes only, and a slide above the size makes none.
     """
-    k = w.size_ms // w.slide
-    end = F.explode(F.sequence(F.lit(1), F.lit(k))) if k else F.explode(F.array().cast("array<int>"))
-    out = panes.withColumn("_k", end).withColumn("window_end_ms", F.col(pane) + F.col("_k") * F.lit(w.slide))
-    return out.withColumn("window_start_ms", F.col("window_end_ms") - F.lit(w.size_ms)).drop("_k")
+    k = F.floor(size / slide).cast("int")
+    out = panes.withColumn("_k", F.explode(F.when(k > 0, F.sequence(F.lit(1), k)).otherwise(F.array().cast("array<int>"))))
+    out = out.withColumn("window_end_ms", F.col(pane) + F.col("_k") * slide)
+    return out.withColumn("window_start_ms", F.col("window_end_ms") - size).drop("_k")
 
 
-def aggregate(routed: DataFrame, w: Windowing, aggs: list[Compiled], keys: list[str]) -> DataFrame:
-    """keys, window_start_ms, window_end_ms and a double per aggregate, from (keys, pane, value columns).
+def aggregate(routed: DataFrame, aggs: list[Compiled], keys: list[str], size: Column, slide: Column, tumbling: bool) -> DataFrame:
+    """keys, window_start_ms, window_end_ms, _raw and a double per aggregate, from (keys, pane, value columns), in one pass over ``routed``.
 
-    A tumbling window is its pane: one aggregation. Sliding ones aggregate panes first and merge those, so an event
-    is one row in one shuffle however many windows hold it. Exact distinct counts merge distinct values instead.
+    ``size`` and ``slide`` are literals or among the keys, so that rules of any windows go together. A tumbling window is its pane: one
+    aggregation. Others aggregate panes first and merge those, so an event is one row in one shuffle however many windows hold it. Exact distinct
+    counts merge distinct values: a pane is one row with the other partials, and one for each of its values.
     """
-    if w.slide == w.size_ms:
+    if tumbling:
         out = routed.groupBy(*keys, "pane").agg(*[a.direct() for a in aggs], F.count(F.lit(1)).alias("_raw"))
-        return out.withColumns({"window_start_ms": F.col("pane"), "window_end_ms": F.col("pane") + F.lit(w.size_ms)}).drop("pane")
-    at = [*keys, "window_start_ms", "window_end_ms"]
-    panes = routed.groupBy(*keys, "pane").agg(F.count(F.lit(1)).alias("_n"), *[p for a in aggs for p in a.partials()])
-    out = to_windows(panes, w).groupBy(*at).agg(F.sum("_n").alias("_raw"), *[a.merged() for a in aggs if not a.exact])
-    for a in (a for a in aggs if a.exact):
-        values = routed.where(F.col(a.v).isNotNull()).select(*keys, "pane", a.v).distinct()
-        counts = to_windows(values, w).groupBy(*at).agg(F.count_distinct(a.v).cast("double").alias(a.spec.alias))
-        out = out.join(counts, at, "left").fillna(0.0, [a.spec.alias])
-    return out
+        return out.withColumns({"window_start_ms": F.col("pane"), "window_end_ms": F.col("pane") + size}).drop("pane")
+    at, merging, exact = [*keys, "window_start_ms", "window_end_ms"], [a for a in aggs if not a.exact], [a for a in aggs if a.exact]
+    if not exact:
+        panes = routed.groupBy(*keys, "pane").agg(F.count(F.lit(1)).alias("_n"), *[p for a in merging for p in a.partials()])
+        return to_windows(panes, size, slide).groupBy(*at).agg(F.sum("_n").alias("_raw"), *[a.merged() for a in merging])
+    tagged = [F.struct(F.lit(0).alias("tag"), F.lit(None).cast("string").alias("value"))]
+    tagged += [F.when(F.col(a.v).isNotNull(), F.struct(F.lit(k).alias("tag"), F.col(a.v).alias("value"))) for k, a in enumerate(exact, 1)]
+    whole = F.col("_x.tag") == 0
+    values = [F.when(whole, F.col(a.v)).alias(a.v) for a in merging if a.v in routed.columns]
+    rows = routed.withColumn("_x", F.explode(F.filter(F.array(*tagged), lambda x: x.isNotNull()))).select(*keys, "pane", F.col("_x.tag").alias("_tag"), F.col("_x.value").alias("_value"), *values)
+    panes = rows.groupBy(*keys, "pane", "_tag", "_value").agg(F.count(F.lit(1)).alias("_n"), *[p for a in merging for p in a.partials()])
+    windows = to_windows(panes, size, slide).groupBy(*at, "_tag", "_value").agg(F.sum("_n").alias("_raw"), F.count(F.lit(1)).alias("_panes"), *[a.merged() for a in merging])
+    most = F.max(F.when(F.col("_tag") == 0, F.col("_panes"))) * DISTINCT_CAP
+    counts = [F.least(F.count(F.when(F.col("_tag") == k, 1)), most).cast("double").alias(a.spec.alias) for k, a in enumerate(exact, 1)]
+    rest = [F.max(F.when(F.col("_tag") == 0, F.col(f"`{a.spec.alias}`"))).alias(a.spec.alias) for a in merging]
+    return windows.groupBy(*at).agg(F.max(F.when(F.col("_tag") == 0, F.col("_raw"))).alias("_raw"), *counts, *rest)

@@ -17,8 +17,7 @@ TIME_FIELD = "_event_timestamp"
 
 def is_object(raw: Column) -> Column:
     """Whether a string is one JSON object: what can't be parsed, is empty or is of another kind is no event."""
-    parsed = F.try_parse_json(raw)
-    return F.coalesce(parsed.isNotNull() & F.schema_of_variant(parsed).startswith("OBJECT"), F.lit(False))
+    return F.coalesce(raw.rlike(r"^\s*\{") & F.try_parse_json(raw).isNotNull(), F.lit(False))
 
 
 def decode(records: DataFrame, time_format: str = "ISO_STRING") -> DataFrame:

@@ -3,6 +3,7 @@
 import json
 import random
 from collections import defaultdict
+from dataclasses import replace
 
 import pytest
 from pyspark.sql import functions as F
@@ -10,6 +11,7 @@ from pyspark.sql import functions as F
 from sluice.catalog import rule
 from sluice.operators.dedup import dedup_ttl
 from sluice.plans import batch
+from sluice.plans.rules import Sinks
 from sluice.sources.events import decode
 from sluice.sources.sinks import in_batches, penalties, retrying
 
@@ -74,6 +76,53 @@ def test_early_fire_and_one_anomaly_per_window(events):
     assert {(x.group_key, x.start_ms): x.entity for x in once} == {k: v[1] for k, v in want.items()} and all(x.early for x in once)
 
 
+def test_rules_evaluated_together_give_what_each_gives_alone(events):
+    v = "_data.v"
+    rules = [
+        rule("a", keys=("_data.u",), size=1000, aggs=(("c", "COUNT", None), ("s", "SUM", v), ("d", "COUNT_DISTINCT", "_data.n")), having="c > 20 && d > 1"),
+        rule("b", keys=("_data.n",), kind="SLIDING", size=1000, slide=300, aggs=(("m", "AVG", v), ("lo", "MIN", v), ("d", "COUNT_DISTINCT", "_data.u"), ("h", "COUNT_DISTINCT", "_data.u", "HIGH")), having="m > 1"),
+        rule("c", kind="SLIDING", size=200, slide=500),
+        rule("p", status="PAUSED"),
+    ]
+    got = {(x.rule_id, x.group_key, x.window_end_ms): (x.window_start_ms, x.breached, x.aggregates) for x in batch.evaluate(events[0], rules).collect()}
+    want = {}
+    for r in rules:
+        for x in batch.results(events[0], r).collect():
+            want[r.rule_id, x.group_key, x.window_end_ms] = (x.window_start_ms, x.breached, {a.alias: pytest.approx(x[a.alias]) for a in r.aggregations})
+    assert got == want and {k[0] for k in got} == {"a", "b"}
+    plan = batch.evaluate(events[0], rules)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("InMemoryTableScan") == 1
+    only = batch.evaluate(events[0], rules[:1])
+    assert only.count() == sum(k[0] == "a" for k in got)
+
+
+def test_distinct_counts_have_one_cap(events, monkeypatch):
+    """At most so many values of a pane, however the window is cut; early fires count up to it, too."""
+    monkeypatch.setattr("sluice.operators.aggregates.DISTINCT_CAP", 2)
+    monkeypatch.setattr("sluice.operators.windows.DISTINCT_CAP", 2)
+    spec = (("d", "COUNT_DISTINCT", "_data.v"),)
+    high = lambda **w: {x.d for x in batch.results(events[0], rule(keys=("_data.u",), aggs=spec, **w)).collect()}
+    assert max(high(size=1000)) == 2 and max(high(kind="SLIDING", size=1000, slide=999)) == 2 and max(high(kind="SLIDING", size=1000, slide=500)) == 4
+    assert batch.early_fires(events[0], rule(keys=("_data.u",), size=1000, aggs=spec, having="d > 2")).count() == 0
+
+
+def test_early_distinct_counts_and_sinks(events):
+    r = rule(keys=("_data.u",), size=1000, aggs=(("d", "COUNT_DISTINCT", "_data.n"), ("c", "COUNT", None)), having="d >= 2 && c >= 3")
+    seen, count, want = defaultdict(set), defaultdict(int), {}
+    for data, ms, k in sorted(events[1], key=lambda x: (x[1], x[2])):
+        at = (data["u"], (ms - OFFSET % 1000) // 1000 * 1000 + OFFSET % 1000)
+        count[at] += 1
+        seen[at] |= {data["n"]} - {"", None}
+        if len(seen[at]) >= 2 and count[at] >= 3:
+            want.setdefault(at, k)
+    assert {(x.group_key, x.pane): x.offset for x in batch.early_fires(events[0], r).collect()} == want
+    off = replace(r, sinks=Sinks(False, False, False))
+    assert batch.results(events[0], off).count() == 0 and batch.anomalies(events[0], off).count() == 0
+    assert batch.anomalies(events[0], replace(r, sinks=Sinks(False, False, True))).count() == len(want)
+    sliding = rule(keys=("_data.u",), kind="SLIDING", size=1000, slide=500, aggs=(("c", "COUNT", None),), having="c >= 1")
+    assert batch.anomalies(events[0], replace(sliding, sinks=Sinks(True, False, False))).count() == 0 < batch.anomalies(events[0], sliding).count()
+
+
 def test_dedup_refreshes(spark):
     rows = spark.createDataFrame([("k", 0, 1), ("k", 8, 2), ("k", 16, 3), ("k", 27, 4), (None, 1, 5), ("", 1, 6)], "k string, ingest_ms long, offset long")
     assert sorted(r.offset for r in dedup_ttl(rows, F.col("k"), 10).collect()) == [1, 4]
