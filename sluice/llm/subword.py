@@ -1,11 +1,13 @@
 """SentencePiece vocabularies as an Aho-Corasick automaton: encoding, decoding, and lattice likelihoods in one pass.
 
 The automaton is a set of arrays, and many strings are walked at once, position by position. That is the single pass
-of the algorithm, with numpy doing each step for a whole batch.
+of the algorithm, with numpy doing each step for a whole batch. A string too long to share a batch is walked alone: there a compiled
+automaton over the same pieces follows the output links, and each match relaxes a score.
 """
 
 from __future__ import annotations
 
+import math
 import re
 import sys
 import types
@@ -50,6 +52,12 @@ def load(path: str = MODEL) -> Vocabulary:
     return Vocabulary(tuple(pieces), tuple(sp.get_score(i) for i in ids), tuple(byte_ids), tuple(not s for s in special))
 
 
+def _logaddexp(a: float, b: float) -> float:
+    if a < b:
+        a, b = b, a
+    return a if b == -math.inf else a + math.log1p(math.exp(b - a))
+
+
 class Automaton:
     """Aho-Corasick over a vocabulary's pieces, complete transitions as a table, with output links.
 
@@ -59,12 +67,13 @@ class Automaton:
 
     def __init__(self, vocabulary: Vocabulary):
         self.vocabulary = vocabulary
-        self.score = np.array(vocabulary.scores)
+        self.score, self.scores, self.compiled = np.array(vocabulary.scores), list(vocabulary.scores), None
         self.byte_id = np.array(vocabulary.byte_ids, np.int64)
         ids = [i for i, n in enumerate(vocabulary.normal) if n and vocabulary.pieces[i]]
         sizes = np.array([len(vocabulary.pieces[i]) for i in ids])
         self.length = np.zeros(len(vocabulary.pieces), np.int64)
         self.length[ids] = sizes
+        self.lengths = self.length.tolist()
         self.unknown = (self.score[ids].min() if ids else 0.0) - UNKNOWN_PENALTY
         data, starts = np.frombuffer(b"".join(vocabulary.pieces[i] for i in ids), np.uint8), np.concatenate(([0], np.cumsum(sizes)))
         self.step = np.full((int(sizes.sum()) + 1, 256), -1, np.int32)
@@ -89,6 +98,93 @@ class Automaton:
             self.step[fresh] = np.where(rows < 0, self.step[fail[fresh]], rows)
             self.link[fresh] = np.where(self.piece[fail[fresh]] >= 0, fail[fresh], self.link[fail[fresh]])
 
+    @property
+    def machine(self):
+        """The compiled automaton over the same pieces, a byte as the character of its number; made when it is first needed."""
+        if self.compiled is None:
+            import ahocorasick
+
+            self.compiled = ahocorasick.Automaton()
+            for i, (piece, normal) in enumerate(zip(self.vocabulary.pieces, self.vocabulary.normal, strict=True)):
+                if normal and piece and piece.decode("latin-1") not in self.compiled:
+                    self.compiled.add_word(piece.decode("latin-1"), (len(piece), i))
+            self.compiled.make_automaton()
+        return self.compiled
+
+    def encode_alone(self, string: bytes) -> np.ndarray:
+        """``encode`` of one string of any length, by matches instead of positions x strings."""
+        n, score, unknown = len(string), self.scores, self.unknown
+        best, last = [-math.inf] * (n + 1), [-1] * (n + 1)
+        best[0] = 0.0
+        done, begun, single = 0, 0, False  # positions settled; where the present character begins; whether a piece is that character
+
+        def settle(upto: int) -> None:
+            """Passes the ends of characters from ``done`` + 1 to ``upto``; one without a piece of its own may be unknown."""
+            nonlocal done, begun, single
+            while done < upto:
+                done += 1
+                if done == n or string[done] & 0xC0 != 0x80:
+                    if not single and (other := best[begun] + unknown) > best[done]:
+                        best[done], last[done] = other, begun - done
+                    begun = done
+                single = False
+
+        for end, (size, i) in self.machine.iter(string.decode("latin-1")):
+            end += 1
+            if end > done + 1:
+                settle(end - 1)
+            start = end - size
+            if start == begun:
+                single = True
+            now = best[start] + score[i]
+            if now > best[end]:
+                best[end], last[end] = now, i
+        settle(n)
+        out, at = [], n
+        while at > 0:
+            i = last[at]
+            if i < 0:
+                size = max(-i, 1)
+                out += [int(self.byte_id[string[j]]) for j in range(at - 1, at - 1 - size, -1)]
+                at -= size
+            else:
+                out.append(i)
+                at -= self.lengths[i]
+        return np.array(out[::-1], np.int32)
+
+    def total_alone(self, string: bytes, log_p: np.ndarray) -> float:
+        """``likelihood`` of one string of any length."""
+        p, octet, total, end = log_p.tolist(), log_p[self.byte_id].tolist(), [0.0] * (len(string) + 1), 0
+        add = _logaddexp
+        for at, (size, i) in self.machine.iter(string.decode("latin-1")):
+            while end <= at:
+                total[end + 1] = total[end] + octet[string[end]]
+                end += 1
+            total[at + 1] = add(total[at + 1], total[at + 1 - size] + p[i])
+        while end < len(string):
+            total[end + 1] = total[end] + octet[string[end]]
+            end += 1
+        return total[-1]
+
+    def expected_alone(self, string: bytes, log_p: np.ndarray) -> np.ndarray:
+        """``expected`` of one string of any length: forward over the matches, then backward over them."""
+        p, ids = log_p.tolist(), self.byte_id[np.frombuffer(string, np.uint8)].tolist()
+        n, add, tally = len(string), _logaddexp, np.zeros(len(log_p))
+        arcs: list[list[tuple[int, int]]] = [[(1, i)] for i in ids]
+        for at, arc in self.machine.iter(string.decode("latin-1")):
+            arcs[at].append(arc)
+        total, after = [-math.inf] * (n + 1), [-math.inf] * (n + 1)
+        total[0] = after[n] = 0.0
+        for at, own in enumerate(arcs, 1):
+            for size, i in own:
+                total[at] = add(total[at], total[at - size] + p[i])
+        for at in range(n, 0, -1):
+            for size, i in arcs[at - 1]:
+                rest = after[at] + p[i]
+                after[at - size] = add(after[at - size], rest)
+                tally[i] += math.exp(total[at - size] + rest - total[n])
+        return tally
+
     def batches(self, strings: list[bytes]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
         """(which, sizes, bytes as a matrix of positions x strings), longest first, so that those still going are a prefix."""
         sizes = np.array([len(s) for s in strings])
@@ -96,7 +192,7 @@ class Automaton:
         lo = 0
         while lo < len(order):
             longest = int(sizes[order[lo]])
-            n = 1 if longest > LONGEST_TOGETHER else max(1, min(len(order) - lo, 400_000 // (longest + 1)))
+            n = max(1, min(len(order) - lo, 400_000 // (longest + 1)))
             which = order[lo : lo + n]
             own = sizes[which]
             flat = np.frombuffer(b"".join([strings[i] for i in which]), np.uint8)
@@ -133,6 +229,13 @@ class Automaton:
         Of equal scores the longer last piece stays. A character without a piece of its own may be unknown, at the lowest score less
         UNKNOWN_PENALTY; it is spelled in byte pieces.
         """
+        out: list[np.ndarray] = [self.encode_alone(s) if len(s) > LONGEST_TOGETHER else np.zeros(0, np.int32) for s in strings]
+        together = [k for k, s in enumerate(strings) if len(s) <= LONGEST_TOGETHER]
+        for which, ids in zip(together, self.encode_together([strings[k] for k in together]), strict=True):
+            out[which] = ids
+        return out
+
+    def encode_together(self, strings: list[bytes]) -> list[np.ndarray]:
         out: list[np.ndarray] = [np.zeros(0, np.int32)] * len(strings)
         for which, own, grid in self.batches(strings):
             longest, n = grid.shape
@@ -197,9 +300,10 @@ class Automaton:
 
         Every byte may also be its byte piece, so no string is impossible.
         """
-        out = np.zeros(len(strings))
+        out = np.array([self.total_alone(s, log_p) if len(s) > LONGEST_TOGETHER else 0.0 for s in strings])
+        together = np.array([k for k, s in enumerate(strings) if len(s) <= LONGEST_TOGETHER], np.int64)
         octet_p = log_p[self.byte_id]
-        for which, own, grid in self.batches(strings):
+        for which, own, grid in self.batches([strings[k] for k in together]):
             longest, n = grid.shape
             total = np.full((longest + 1, n), -np.inf)
             total[0] = 0
@@ -208,14 +312,17 @@ class Automaton:
                 now[:m] = total[pos, :m] + octet_p[grid[pos, :m]]
                 for who, ids in outputs:
                     now[who] = np.logaddexp(now[who], total[pos + 1 - self.length[ids], who] + log_p[ids])
-            out[which] = total[own, np.arange(n)]
+            out[together[which]] = total[own, np.arange(n)]
         return out
 
     def expected(self, strings: list[bytes], log_p: np.ndarray) -> np.ndarray:
         """How often each piece is used, expected over all segmentations of each string: the forward recursion, then the backward one over its arcs."""
         tally = np.zeros(len(log_p))
         octet_p = log_p[self.byte_id]
-        for which, own, grid in self.batches(strings):
+        for string in strings:
+            if len(string) > LONGEST_TOGETHER:
+                tally += self.expected_alone(string, log_p)
+        for which, own, grid in self.batches([s for s in strings if len(s) <= LONGEST_TOGETHER]):
             longest, n = grid.shape
             total, after = np.full((longest + 1, n), -np.inf), np.full((longest + 1, n), -np.inf)
             total[0] = 0
@@ -289,7 +396,7 @@ def encode_batches(vocabulary: Vocabulary, keep_ids: bool):
                 hi = max(lo + 1, int(np.searchsorted(offsets, offsets[lo] + (1 << 20), side="right")) - 1)
                 texts = batch.column(1).slice(lo, hi - lo).to_pylist()
                 coded = coder.encode(texts)
-                same = [coder.decode(c) == t.replace(b"\xe2\x96\x81", b" ") for c, t in zip(coded, texts, strict=True)]
+                same = [coder.decode(c) == t for c, t in zip(coded, texts, strict=True)]
                 cuts = np.concatenate(([0], np.cumsum([len(c) // 4 for c in coded]))).astype(np.int32)
                 columns = [batch.column(0).slice(lo, hi - lo), pa.array(np.diff(cuts).astype(np.int64)), pa.array([hashlib.sha256(c).hexdigest() for c in coded]), pa.array(same)]
                 names = ["doc_id", "n_ids", "ids_sha256", "round_trip"]
@@ -305,22 +412,26 @@ def encode_batches(vocabulary: Vocabulary, keep_ids: bool):
 def encode(docs: DataFrame, path: str = MODEL, id_col: str = "doc_id", text_col: str = "text", keep_ids: bool = True) -> DataFrame:
     """doc_id, n_ids, ids_sha256 (of the ids as little-endian 32-bit integers), round_trip, and the ids.
 
-    Encodes each whole text with the vocabulary's own scores and decodes it again; round_trip tells whether that gave the text.
-    The mark U+2581 in a text counts as a space, as the vocabulary can't tell them apart. Null texts are empty, and empty texts have
-    no ids. Extra columns are ignored, and repeated rows are encoded each.
+    Encodes each whole text with the vocabulary's own scores and decodes it again; round_trip tells whether that gave the text, byte for byte.
+    The mark U+2581 in a text counts as a space, as the vocabulary can't tell them apart: such a text comes back with spaces. Null texts are empty, and
+    empty texts have no ids. Extra columns are ignored, repeated rows are encoded each, and no rows give no rows.
     """
     schema = "doc_id long, n_ids long, ids_sha256 string, round_trip boolean" + ", ids array<int>" * keep_ids
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), text_of(text_col).alias("text")).mapInArrow(encode_batches(load(path), keep_ids), schema)
 
 
 def decode(coded: DataFrame, path: str = MODEL, id_col: str = "doc_id", ids_col: str = "ids") -> DataFrame:
-    """doc_id, text from ids."""
+    """doc_id, text from ids: the pieces' surfaces in a row, less the space in front.
+
+    Null and empty ids give an empty text; null ids among others are left out. Bytes that are no UTF-8 come back as U+FFFD. An id that the vocabulary
+    lacks ends the job. Extra columns are ignored, and repeated rows are decoded each.
+    """
     vocabulary = load(path)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         surface = list(vocabulary.pieces)
         for batch in batches:
-            texts = [b"".join([surface[i] for i in ids or ()])[1:].decode("utf-8", "replace") for ids in batch.column(1).to_pylist()]
+            texts = [b"".join([surface[i] for i in ids or () if i is not None])[1:].decode("utf-8", "replace") for ids in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.string())], ["doc_id", "text"])
 
     return coded.select(F.col(id_col).cast("long").alias("doc_id"), F.col(ids_col).alias("ids")).mapInArrow(run, "doc_id long, text string")
