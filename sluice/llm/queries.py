@@ -15,7 +15,7 @@ def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     ws = Workspace(spark, "op1")
     root = f"{ws.path}/warc"
     archives = warc.write_archives(table(spark, sf_dir, "pages"), ws, root)
-    return warc.records_of(warc.read_archives(archives, root, with_bytes=False))
+    return warc.records_of(warc.read_archives(archives, root))
 
 
 def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

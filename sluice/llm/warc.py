@@ -1,4 +1,4 @@
-"""WARC archives, written and read as a chunked record table: no record is ever held whole."""
+"""WARC archives, written from and read as a chunked record table: Python holds a few chunks of a record at a time, never all of it."""
 
 from __future__ import annotations
 
@@ -13,6 +13,7 @@ from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from .common import Workspace
@@ -75,10 +76,16 @@ def header(fields: list[tuple[str, object]]) -> bytes:
     return ("WARC/1.1\r\n" + "".join(f"{k}: {clean(v)}\r\n" for k, v in fields if v is not None) + "\r\n").encode()
 
 
-def writer(root: str, date: str, chunk: int, archive_bytes: int):
-    """A mapInArrow function that writes records (page_id, url, payload, digest, record_type, refers_to) and returns the archives' names.
+def record_id(page: int | None, digest: str, copy: int = 0) -> str:
+    """The name of a page's record: the same wherever it is written, so that revisits can refer to it. ``copy`` numbers rows that repeat page and payload."""
+    return f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, f'page:{page}:{digest}' + f':{copy}' * (copy > 0))}>"
 
-    Every record is a gzip member of its own, deflated chunk by chunk. A file appears under its final name
+
+def writer(root: str, date: str, archive_bytes: int):
+    """A mapInArrow function that writes records from rows of their chunks (page_id, url, n, digest, record_type, refers_to, copy, chunk_no, chunk), in
+    order, and returns the archives' names.
+
+    Every record is a gzip member of its own, deflated chunk by chunk as the rows come. A file appears under its final name
     only when it is complete, and the name holds its partition, number and attempt, so a task that runs twice does no harm: only
     names that a successful attempt returned are read.
     """
@@ -87,41 +94,46 @@ def writer(root: str, date: str, chunk: int, archive_bytes: int):
         from pyspark import TaskContext
 
         files, part, attempt = Files(root), TaskContext.get().partitionId(), uuid.uuid4().hex[:8]
-        out, name, names, size = None, "", [], 0
+        out, name, names, size, left, deflate = None, "", [], 0, 0, None
         for batch in batches:
-            page_ids, urls, payloads, digests, types, refers = batch.columns
-            for i in range(batch.num_rows):
-                if out is None:
-                    name, size = f"part-{part:05d}-{len(names):05d}-{attempt}.warc.gz", 0
-                    out = files.open(f"{name}.tmp", "wb")
-                payload = memoryview(payloads[i].as_buffer())
-                page, kind, refers_to, digest = page_ids[i].as_py(), types[i].as_py(), refers[i].as_py(), digests[i].as_py()
-                body = len(payload) if kind == "response" else 0
-                top = header(
-                    [
-                        ("WARC-Type", kind),
-                        ("WARC-Record-ID", f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, f'page:{page}:{part}:{len(names)}:{size}')}>"),
-                        ("WARC-Date", date),
-                        ("WARC-Target-URI", urls[i].as_py()),
-                        ("WARC-Payload-Digest", f"sha1:{digest}"),
-                        ("WARC-Refers-To", None if refers_to is None else f"<urn:page:{refers_to}>"),
-                        ("WARC-Profile", "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest" if kind == "revisit" else None),
-                        ("X-Page-ID", page),
-                        ("X-Payload-Length", len(payload)),
-                        ("Content-Type", "text/html; charset=utf-8"),
-                        ("Content-Length", body),
-                    ]
-                )
-                deflate = zlib.compressobj(4, zlib.DEFLATED, 31)
-                size += out.write(deflate.compress(top)) or 0
-                for at in range(0, body, chunk):
-                    size += out.write(deflate.compress(payload[at : at + chunk])) or 0
+            heads = [batch.column(c).to_pylist() for c in range(8)]
+            for page, url, n, digest, kind, refers_to, copy, no, chunk in zip(*heads, batch.column(8), strict=True):
+                if no == 0:
+                    if out is None:
+                        name, size = f"part-{part:05d}-{len(names):05d}-{attempt}.warc.gz", 0
+                        out = files.open(f"{name}.tmp", "wb")
+                    left = n if kind == "response" else 0
+                    top = header(
+                        [
+                            ("WARC-Type", kind),
+                            ("WARC-Record-ID", record_id(page, digest, copy)),
+                            ("WARC-Date", date),
+                            ("WARC-Target-URI", url),
+                            ("WARC-Payload-Digest", f"sha1:{digest}"),
+                            ("WARC-Refers-To", record_id(refers_to, digest) if kind == "revisit" else None),
+                            ("WARC-Profile", "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest" if kind == "revisit" else None),
+                            ("X-Page-ID", page),
+                            ("X-Refers-To-Page-ID", refers_to),
+                            ("X-Payload-Length", n),
+                            ("Content-Type", "text/html; charset=utf-8"),
+                            ("Content-Length", left),
+                        ]
+                    )
+                    deflate = zlib.compressobj(4, zlib.DEFLATED, 31)
+                    size += out.write(deflate.compress(top)) or 0
+                data = memoryview(chunk.as_buffer()) if left else b""
+                size += out.write(deflate.compress(data)) or 0
+                left -= len(data)
+                if left:
+                    continue
                 size += out.write(deflate.compress(b"\r\n\r\n") + deflate.flush()) or 0
                 if size >= archive_bytes:
                     out.close()
                     files.rename(f"{name}.tmp", name)
                     names.append(name)
                     out = None
+        if left:
+            raise ValueError("a record lacks chunks")
         if out is not None:
             out.close()
             files.rename(f"{name}.tmp", name)
@@ -169,7 +181,7 @@ def chunks_of(stream: io.BufferedReader, chunk: int) -> Iterator[dict]:
             k, _, v = line.decode().rstrip("\r\n").partition(": ")
             fields[k.lower()] = urllib.parse.unquote(v) if k == "WARC-Target-URI" else v
         left, digest, done, no = int(fields["content-length"]), hashlib.sha1(), 0, 0
-        page, refers = fields["x-page-id"], fields.get("warc-refers-to")
+        page, refers = fields.get("x-page-id"), fields.get("x-refers-to-page-id")
         while True:
             data = stream.read(min(chunk, left))
             if len(data) < min(chunk, left):
@@ -184,9 +196,9 @@ def chunks_of(stream: io.BufferedReader, chunk: int) -> Iterator[dict]:
                 raise ValueError(f"record {fields['warc-record-id']}: payload {own}, header {declared}")
             yield {
                 "record_id": fields["warc-record-id"],
-                "page_id": None if page == "None" else int(page),
+                "page_id": int(page) if page else None,
                 "record_type": fields["warc-type"],
-                "refers_to": int(refers[10:-1]) if refers else None,
+                "refers_to": int(refers) if refers else None,
                 "chunk_no": no,
                 "last": not left,
                 "chunk": data,
@@ -228,15 +240,24 @@ def reader(root: str, chunk: int, with_bytes: bool):
 def write_archives(pages: DataFrame, ws: Workspace, root: str, least: int = 0, date: str = "2024-01-01T00:00:00Z", chunk: int = CHUNK, archive_bytes: int = ARCHIVE_BYTES) -> DataFrame:
     """Writes one record per row of ``pages`` (page_id, url, html) below ``root``; gives the archives' names.
 
+    Payloads are cut into chunks of ``chunk`` bytes before they go to the writers, a row per record and chunk, so a payload of any length passes
+    through Python piece by piece. A revisit refers to its response by that record's WARC-Record-ID, and has no chunk with bytes.
+
     Null payloads are empty, null urls are left out, extra columns are ignored. Rows that repeat a page_id and payload are all
-    records; each that carries the largest page_id of its payload is a response. A null page_id is smaller than any other.
+    records, numbered; each that carries the largest page_id of its payload is a response, and revisits refer to the first of them. A null page_id is
+    smaller than any other. No rows give no archives.
     """
     payload = F.coalesce(F.col("html"), F.lit("")).cast("binary")
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), payload.alias("payload"), F.sha1(payload).alias("hex"))
-    known = plan(pages, least).dropDuplicates(["page_id", "hex"])
+    known = plan(pages, least).groupBy("page_id", "hex", "digest", "record_type", "refers_to").agg(F.count("*").alias("rows"))
     same = rows.page_id.eqNullSafe(known.page_id) & (rows.hex == known.hex)
-    records = rows.join(known, same).select(rows.page_id, "url", "payload", "digest", "record_type", "refers_to")
-    return ws.save(records.mapInArrow(writer(root, date, chunk, archive_bytes), "archive string"), "archives")
+    records = rows.join(known, same).select(rows.page_id, "url", "payload", F.octet_length("payload").cast("long").alias("n"), "digest", "record_type", "refers_to", "rows")
+    again = records.where("rows > 1").withColumn("copy", F.row_number().over(W.partitionBy("page_id", "digest").orderBy("url")) - 1)
+    records = records.where("rows = 1").withColumn("copy", F.lit(0)).unionByName(again)
+    last = F.when(F.col("record_type") == "response", F.greatest(F.ceil(F.col("n") / chunk) - 1, F.lit(0))).otherwise(F.lit(0)).cast("int")
+    piece = F.when(F.col("record_type") == "response", F.substring("payload", F.col("chunk_no") * chunk + 1, F.lit(chunk))).otherwise(F.lit(b""))
+    chunks = records.withColumn("chunk_no", F.explode(F.sequence(F.lit(0), last))).select("page_id", "url", "n", "digest", "record_type", "refers_to", "copy", "chunk_no", piece.alias("chunk"))
+    return ws.save(chunks.mapInArrow(writer(root, date, archive_bytes), "archive string"), "archives")
 
 
 def read_archives(archives: DataFrame, root: str, chunk: int = CHUNK, with_bytes: bool = True) -> DataFrame:
