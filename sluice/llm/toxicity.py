@@ -13,8 +13,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
-from .common import Workspace, text_of
+from .common import Workspace, fresh, text_of
 
 # Letters of other scripts that look like Latin ones, then signs and digits that stand for letters.
 LOOKALIKES = {
@@ -33,7 +34,7 @@ TRAINING_ROWS = 30_000
 #: Letters of the word beginnings that may be terms, besides whole words.
 STEMS = range(4, 9)
 #: Toxic documents that hold a term: three, and four in a thousand of those learned from.
-LEAST_DOCS, LEAST_SHARE, LEAST_WEIGHT, MOST_TERMS = 3, 0.004, 3.0, 1000
+LEAST_DOCS, LEAST_SHARE, LEAST_WEIGHT = 3, 0.004, 3.0
 
 
 def fold(text: str) -> str:
@@ -121,7 +122,7 @@ def term_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             terms: set[str] = set()
             for w in set(WORDS.findall(fold(text.as_py().decode()))):
                 if (own := shapes.get(w)) is None:
-                    own = shapes[w] = (*(w[:k] for k in STEMS if k <= len(w)), f"{w} ") if len(w) <= 40 else ()
+                    own = shapes[w] = (*(w[:k] for k in STEMS if k <= len(w)), f"{w} ")
                 terms.update(own)
             tally[int(toxic)].update(terms)
             if len(tally[0]) + len(tally[1]) > 500_000:
@@ -152,9 +153,11 @@ def measure_batches(lexicon: Lexicon):
                 phrases = set()
                 for a, b, _ in found:
                     after = WORDS.match(folded, b + 1) if b < len(folded) and folded[b] == " " else None
-                    before = re.search(r"([^\W_]+) $", folded[max(0, a - 40) : a])
+                    k = a - 1
+                    while a and folded[a - 1] == " " and k > 0 and folded[k - 1].isalnum():
+                        k -= 1
                     phrases |= {folded[a : after.end()]} if after else set()
-                    phrases |= {f"{before[1]} {folded[a:b]}"} if before else set()
+                    phrases |= {folded[k:b]} if 0 <= k < a - 1 else set()
                 out.append((int(toxic), sum(m[2] for m in found), len(text.split()), sorted(phrases)))
             cols = list(zip(*out, strict=True)) if out else [()] * 4
             yield pa.RecordBatch.from_arrays([pa.array(cols[0], pa.int32()), pa.array(cols[1], pa.float64()), pa.array(cols[2], pa.int64()), pa.array(cols[3], pa.list_(pa.string()))], ["toxic", "weight", "words", "phrases"])
@@ -180,7 +183,9 @@ def learn(docs: DataFrame, labels: DataFrame, train, id_col: str = "doc_id", tex
     """A lexicon from at most ``rows`` labelled documents (drawn by a hash of the id) for which ``train`` holds; one scan of ``docs`` gathers them.
 
     Terms are those whose odds among toxic documents are e**LEAST_WEIGHT times those among clean ones. Phrases of two words that hold a
-    term and stand in clean documents only, three at least, become exceptions. Without labels of both kinds no term is learned.
+    term and stand in clean documents only, three at least, become exceptions. All that qualify are taken: as each term stands in LEAST_SHARE of the
+    toxic sample, their number is bounded by the sample, not by the corpus. Words are whole, however long. Labels other than 0 and 1, null ids and ids
+    labelled twice (one label is taken) do no harm. Documents that repeat an id are learned from each. Without labels of both kinds no term is learned.
     """
     chosen = labels.where(F.col(id_col).isNotNull() & F.col("toxic").isin(0, 1)).select(F.col(id_col), "toxic").where(train).dropDuplicates([id_col])
     chosen = chosen.orderBy(F.xxhash64(F.col(id_col)), id_col).limit(rows)
@@ -194,10 +199,9 @@ def learn(docs: DataFrame, labels: DataFrame, train, id_col: str = "doc_id", tex
     terms = sample.mapInArrow(term_batches, "term string, toxic long, clean long").groupBy("term").agg(F.sum("toxic").alias("t"), F.sum("clean").alias("c"))
     weight = F.log((F.col("t") + 0.5) / F.lit(toxic + 1.0)) - F.log((F.col("c") + 0.5) / F.lit(clean + 1.0))
     terms = terms.withColumn("w", weight).where((F.col("t") >= max(LEAST_DOCS, LEAST_SHARE * toxic)) & (F.col("w") >= LEAST_WEIGHT))
-    best = terms.orderBy((F.col("t") * F.col("w")).desc(), "term").limit(MOST_TERMS)
-    lexicon = Lexicon(sift([tuple(r) for r in best.collect()]), tuple(phrases))
+    lexicon = Lexicon(sift([tuple(r) for r in terms.orderBy((F.col("t") * F.col("w")).desc(), "term").collect()]), tuple(phrases))
     measured = sample.mapInArrow(measure_batches(lexicon), "toxic int, weight double, words long, phrases array<string>")
-    around = measured.select("toxic", F.explode("phrases").alias("p")).groupBy("p").agg(F.sum("toxic").alias("t"), F.count("*").alias("n")).where("t = 0 and n >= 3").orderBy(F.desc("n"), "p").limit(MOST_TERMS)
+    around = measured.select("toxic", F.explode("phrases").alias("p")).groupBy("p").agg(F.sum("toxic").alias("t"), F.count("*").alias("n")).where("t = 0 and n >= 3").orderBy("p")
     excepted = [r[0] for r in around.collect()]
     lexicon = Lexicon(lexicon.terms, (*phrases, *excepted))
     measured = sample.mapInArrow(measure_batches(lexicon), "toxic int, weight double, words long, phrases array<string>").select("toxic", "weight", "words").toPandas()
@@ -220,13 +224,14 @@ def score_batches(lexicon: Lexicon):
 def toxicity(docs: DataFrame, lexicon: Lexicon, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, score, n_matches for every row: the whole text folded and matched in one pass, without any exchange.
 
-    Null texts are empty; an empty text has no match and gets the score of one without any. Extra columns are ignored.
+    Null texts are empty; an empty text has no match and gets the score of one without any. Extra columns are ignored, repeated rows are scored
+    each, no rows give no rows.
     """
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), text_of(text_col).alias("text")).mapInArrow(score_batches(lexicon), "doc_id long, score double, n_matches long")
 
 
-def tag_batches(lexicon: Lexicon):
-    """Adds the score as the last column to batches whose second-last column is the text's bytes."""
+def tag_batches(lexicon: Lexicon, name: str):
+    """Batches whose last column is the text's bytes, with the score ``name`` in its place."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         matcher = Matcher(lexicon)
@@ -235,13 +240,17 @@ def tag_batches(lexicon: Lexicon):
             for t in batch.column(batch.num_columns - 1):
                 w, _, n = matcher.measure(t.as_py().decode("utf-8", "replace"))
                 scores.append(matcher.score(w, n))
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(scores, pa.float64())], [*batch.schema.names[:-1], "_score"])
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(scores, pa.float64())], [*batch.schema.names[:-1], name])
 
     return run
 
 
 def drop_toxic(docs: DataFrame, lexicon: Lexicon, text_col: str = "text", least: float = 0.5) -> DataFrame:
-    """The rows of ``docs`` whose score is below ``least``, with all their columns."""
-    wide = docs.withColumn("_bytes", text_of(text_col))
-    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema), "_score double"])
-    return wide.mapInArrow(tag_batches(lexicon), schema).where(F.col("_score") < least).drop("_score")
+    """The rows of ``docs`` whose score is below ``least``, with all their columns, whatever their names.
+
+    Null texts are empty. Repeated rows stay or go together; no rows give no rows.
+    """
+    octets, score = fresh(docs, "octets", "score")
+    wide = docs.withColumn(octets, text_of(text_col))
+    schema = StructType([*docs.schema.fields, StructField(score, DoubleType())])
+    return wide.mapInArrow(tag_batches(lexicon, score), schema).where(F.col(score) < least).drop(score)
