@@ -46,14 +46,14 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     Rows are told apart by id and text, so unlike texts under one id are unlike documents. Empty and null texts are linked with each other.
     """
     ws = Workspace(spark, "stage8")
-    (key,) = fresh(docs, "row_key")
+    key, kept = fresh(docs, "row_key", "kept_row")
     row = F.xxhash64("doc_id", text_of())
     ids = docs.select(row.alias("doc_id"), F.col("doc_id").cast("long").alias("id"), "text")
     parts = simhash.simhash_dedup(ids, ws).select(F.col("doc_id").alias("row"), F.col("component_id").alias("part"))
     least = F.min(F.struct(F.col("id").isNull().alias("unnamed"), "id", "row")).alias("least")
-    first = ids.select(F.col("doc_id").alias("row"), "id").join(parts, "row").groupBy("part").agg(least).select(F.col("least.row").alias("first"))
+    first = ids.select(F.col("doc_id").alias("row"), "id").join(parts, "row").groupBy("part").agg(least).select(F.col("least.row").alias(kept))
     first = ws.save(first, "first")
-    return docs.withColumn(key, row).join(first, F.col(key) == F.col("first"), "left_semi").drop(key)
+    return docs.withColumn(key, row).join(first, F.col(key) == F.col(kept), "left_semi").drop(key)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
