@@ -15,6 +15,8 @@ from .common import Workspace, text_of
 RUN = 3
 #: Words that make a run of fewer lines: a passage of over 50 words may be one or two lines.
 RUN_WORDS = 50
+#: Parts that the places of a fingerprint are dealt to.
+SALTS = 8
 MARK = "named boolean, id long, row long, fp long, at int, windows array<struct<at:int,size:int,digest:binary>>"
 
 
@@ -113,8 +115,9 @@ def line_dedup(docs: DataFrame, ws: Workspace, run: int = RUN, words: int | None
     doc, text = F.col(id_col).cast("long"), text_of(text_col)
     rows = docs.select(doc.isNotNull().alias("named"), F.coalesce(doc, F.lit(0)).alias("id"), F.xxhash64(doc, text).alias("row"), text.alias("text"))
     marks = ws.save(rows.mapInArrow(mark_batches(run, words), MARK), "marks")
-    shared = marks.groupBy("fp").agg(F.count("*").alias("n")).where("n > 1")
-    extents = marks.join(shared, "fp", "left_semi").select("named", "id", "row", F.explode("windows").alias("w")).select("named", "id", "row", "w.*")
+    shared = marks.groupBy("fp").agg(F.count("*").alias("n")).where("n > 1").select("fp", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
+    salted = marks.withColumn("salt", F.pmod("row", F.lit(SALTS)).cast("int"))  # so the places of one common line are several tasks' work
+    extents = salted.join(shared, ["fp", "salt"], "left_semi").select("named", "id", "row", F.explode("windows").alias("w")).select("named", "id", "row", "w.*")
     extents = ws.save(extents, "extents")
     place = F.struct("named", "id", "row", "at")
     first = extents.groupBy("digest").agg(F.min(place).alias("first"), F.count("*").alias("n")).where("n > 1").select("digest", "first")
