@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from .common import Workspace
 
 #: Distinct keys a bucket may hold before it splits, and how many buckets there are about at most; beyond that they hold more.
-BUCKET_ENTRIES, MOST_BUCKETS = 50_000, 1 << 17
+BUCKET_ENTRIES, MOST_BUCKETS = 1_000, 1 << 17
 #: Bytes of distinct texts that a task combines before it passes them on, and bytes of text for each owner task, about.
 UNIT_BYTES, OWNER_BYTES = 16 << 20, 128 << 20
 #: Bits of a key that the directory may use.
