@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -13,19 +14,23 @@ from .common import Workspace, local_components, run_starts, sorted_runs
 from .components import connected_components
 
 #: Vectors that the codebooks are fitted on, at most.
-SAMPLE = 10_000
+SAMPLE = 40_000
+#: Vectors of a cell, about, and centroids of a half at most: a grid of this size has some 400 vectors a cell up to 1.6 thousand million vectors. Beyond
+#: that cells grow, and are dealt in blocks as crowded ones are.
+CELL, MOST_CENTRES = 400, 2048
 #: Members, and queries, of a cell that one task compares at once; crowded cells are so many blocks.
 MEMBERS, QUERIES = 2_000, 8_000
 TARGET_RECALL = 0.97
 
 
 def codebook(points: np.ndarray, k: int, rounds: int = 12, seed: int = 11) -> np.ndarray:
-    """k-means; a centroid without points stays where it is."""
+    """k-means on some 20 points a centroid or all; a centroid without points stays where it is."""
     rng = np.random.default_rng(seed)
     unique = np.unique(points, axis=0)
     centres = unique[rng.permutation(len(unique))[:k]].copy()
+    points = points[: max(10_000, 20 * k)]
     for _ in range(rounds):
-        own = nearest(points, centres).argmin(1)
+        own = np.concatenate([nearest(points[lo : lo + 4096], centres).argmin(1) for lo in range(0, len(points), 4096)])
         sums = np.zeros_like(centres)
         np.add.at(sums, own, points)
         n = np.bincount(own, minlength=len(centres))
@@ -48,9 +53,8 @@ def traverse(x: np.ndarray, books: tuple[np.ndarray, np.ndarray], cells: int) ->
     half = x.shape[1] // 2
     a, b = nearest(x[:, :half], books[0]), nearest(x[:, half:], books[1])
     ra, rb = np.argsort(a, axis=1, kind="stable"), np.argsort(b, axis=1, kind="stable")
-    i, j = np.divmod(np.arange(len(books[0]) * len(books[1])), len(books[1]))
-    reached = (i + 1) * (j + 1) <= cells
-    i, j = i[reached], j[reached]
+    reach = [min(cells // (k + 1), len(books[1])) for k in range(min(cells, len(books[0])))]
+    i, j = np.repeat(np.arange(len(reach)), reach), np.concatenate([np.arange(n) for n in reach])
     sums = np.take_along_axis(a, ra[:, i], 1) + np.take_along_axis(b, rb[:, j], 1)
     order = np.argsort(sums, axis=1, kind="stable")[:, :cells]
     return (np.take_along_axis(ra, i[order], 1) * len(books[1]) + np.take_along_axis(rb, j[order], 1)).astype(np.int32)
@@ -64,20 +68,37 @@ def cells_needed(points: np.ndarray, books, cosine: float, recall: float, seed:
     off -= (off * x).sum(1, keepdims=True) * x
     off /= np.maximum(np.linalg.norm(off, axis=1, keepdims=True), 1e-12)
     y = cosine * x + np.sqrt(1 - cosine**2) * off
-    all_cells = len(books[0]) * len(books[1])
     own_x, own_y = traverse(x, books, 1)[:, 0], traverse(y, books, 1)[:, 0]
-    rank = np.minimum((traverse(x, books, all_cells) == own_y[:, None]).argmax(1), (traverse(y, books, all_cells) == own_x[:, None]).argmax(1))
+    rank = np.minimum(ranks(x, own_y, books), ranks(y, own_x, books))
     return int(np.quantile(rank, recall, method="higher")) + 1
 
 
+def ranks(x: np.ndarray, cell: np.ndarray, books) -> np.ndarray:
+    """How many cells a traversal from each vector visits before the given one: those whose distances sum to less."""
+    half = x.shape[1] // 2
+    i, j = np.divmod(cell.astype(np.int64), len(books[1]))
+    out = np.zeros(len(x), np.int64)
+    for k in range(len(x)):
+        a, b = nearest(x[k : k + 1, :half], books[0])[0], np.sort(nearest(x[k : k + 1, half:], books[1])[0])
+        own = nearest(x[k : k + 1, half:], books[1])[0][j[k]]
+        out[k] = np.searchsorted(b, a[i[k]] + own - a, side="left").sum()
+        out[k] -= np.searchsorted(b, own) > np.searchsorted(b, a[i[k]] + own - a[i[k]])  # its own sum, as rounded
+    return np.maximum(out, 0)
+
+
 def matrix(column: pa.Array, width: int) -> np.ndarray:
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
-    return column.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(-1, width)
+    return column.flatten().to_numpy(zero_copy_only=False).reshape(-1, width)
+
 
+def units_of(x: np.ndarray) -> np.ndarray:
+    x = x.astype(np.float64)
+    return x / np.linalg.norm(x, axis=1, keepdims=True)
 
-def unit_batches(width: int):
-    """(id, n, embedding) with unit vectors; those that can't be compared go."""
+
+def fit_batches(width: int, single: bool):
+    """(id, embedding) to the vectors that can be compared, as they are, in single precision where the table has that."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -87,8 +108,8 @@ def unit_batches(width: int):
             size = np.linalg.norm(x, axis=1)
             fine = np.isfinite(x).all(1) & np.isfinite(size) & (size > 0)
             keep = np.array(good, np.int64)[fine]
-            unit = (x[fine] / size[fine, None]).ravel()
-            yield pa.RecordBatch.from_arrays([pa.array(ids[keep]), pa.ListArray.from_arrays(pa.array(np.arange(len(keep) + 1, dtype=np.int32) * width), pa.array(unit))], ["id", "v"])
+            flat = x[fine].astype(np.float32 if single else np.float64).ravel()
+            yield pa.RecordBatch.from_arrays([pa.array(ids[keep]), pa.ListArray.from_arrays(pa.array(np.arange(len(keep) + 1, dtype=np.int32) * width), pa.array(flat))], ["id", "v"])
 
     return run
 
@@ -102,29 +123,35 @@ def deal_batches(books, cells: int, width: int, blocks: dict[int, tuple[int, int
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         most_q = max([q for _, q in blocks.values()], default=1)
         most_m = max([m for m, _ in blocks.values()], default=1)
-        shape = np.ones((len(books[0]) * len(books[1]), 2), np.int64)
-        for cell, (m, q) in blocks.items():
-            shape[cell] = m, q
+        crowded = np.array(sorted(blocks), np.int64)
+        parts = np.array([blocks[c] for c in sorted(blocks)] + [(1, 1)], np.int64)
+
+        def shape(cells: np.ndarray) -> np.ndarray:
+            """Member blocks and query blocks of each cell."""
+            at = np.searchsorted(crowded, cells)
+            return parts[np.where(np.append(crowded, -1)[at] == cells, at, len(crowded))]
+
         stride = most_m * most_q
         for batch in batches:
             ids, x = batch.column(0).to_numpy(), matrix(batch.column(1), width)
             for lo in range(0, len(ids), 1000):
                 part, v = ids[lo : lo + 1000], x[lo : lo + 1000]
-                visits = traverse(v, books, cells)
+                visits = traverse(units_of(v), books, cells)
                 own, draw = visits[:, 0].astype(np.int64), (part.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(33)).astype(np.int64)
                 row, role, key = [], [], []
+                of_own = shape(own)
                 for q in range(most_q):
-                    has = np.flatnonzero(q < shape[own, 1])
+                    has = np.flatnonzero(q < of_own[:, 1])
                     row.append(has)
                     role.append(np.zeros(len(has), bool))
-                    key.append(own[has] * stride + (draw[has] % shape[own[has], 0]) * most_q + q)
+                    key.append(own[has] * stride + (draw[has] % of_own[has, 0]) * most_q + q)
                 flat = visits.astype(np.int64).ravel()
-                who = np.repeat(np.arange(len(part)), visits.shape[1])
+                who, of_flat = np.repeat(np.arange(len(part)), visits.shape[1]), shape(flat)
                 for m in range(most_m):
-                    has = np.flatnonzero(m < shape[flat, 0])
+                    has = np.flatnonzero(m < of_flat[:, 0])
                     row.append(who[has])
                     role.append(np.ones(len(has), bool))
-                    key.append(flat[has] * stride + m * most_q + (draw[who[has]] // 7919) % shape[flat[has], 1])
+                    key.append(flat[has] * stride + m * most_q + (draw[who[has]] // 7919) % of_flat[has, 1])
                 row, role, key = map(np.concatenate, (row, role, key))
                 size = visits.shape[1]
                 member_visits = np.where(role, 0, 1) * size
@@ -161,7 +188,7 @@ def verify_batches(cosine: float, width: int, cells: int, stride: int):
                 role, ids = block.column("query").to_numpy(), block.column("id").to_numpy()
                 if role.all() or not role.any():
                     continue
-                x, own = matrix(block.column("v"), width), block.column("cell").to_numpy()
+                x, own = units_of(matrix(block.column("v"), width)), block.column("cell").to_numpy()
                 here = int(keys[lo]) // stride
                 q, m = np.flatnonzero(role), np.flatnonzero(~role)
                 visits = block.column("visits").combine_chunks().flatten().to_numpy().reshape(len(m), -1)
@@ -195,6 +222,40 @@ def verify_batches(cosine: float, width: int, cells: int, stride: int):
     return run
 
 
+def links_of(named: DataFrame, width: int, ws: Workspace, cosine: float, recall: float, sample: int) -> DataFrame:
+    """(id, n, a, b): links per vector, and edges that join what links join, among the vectors of one length; ``named`` has one row per id."""
+    drawn = named.orderBy(F.xxhash64("id"), "id").limit(sample).collect()
+    points = units_of(np.array([r["v"] for r in drawn], np.float64).reshape(-1, width))
+    single = named.schema["v"].dataType.elementType.typeName() == "float"
+    kind = "float" if single else "double"
+    units = ws.save(named.mapInArrow(fit_batches(width, single), f"id long, v array<{kind}>"), f"units{width}")
+    total = units.count()
+    side = int(np.clip(round((total / CELL) ** 0.5), 1, MOST_CENTRES))
+    half = width // 2
+    books = (codebook(points[:, :half], side), codebook(points[:, half:], side))
+    cells = cells_needed(points, books, cosine, recall)
+
+    def cell_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        grid = np.zeros((2, len(books[0]) * len(books[1])), np.int32)
+        for batch in batches:
+            x = matrix(batch.column(1), width)
+            for lo in range(0, len(x), 1000):
+                visits = traverse(units_of(x[lo : lo + 1000]), books, cells)
+                grid[0] += np.bincount(visits[:, 0], minlength=grid.shape[1]).astype(np.int32)
+                grid[1] += np.bincount(visits.ravel(), minlength=grid.shape[1]).astype(np.int32)
+        used = np.flatnonzero(grid.any(0))
+        yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(grid[0, used].astype(np.int64)), pa.array(grid[1, used].astype(np.int64))], ["cell", "members", "queries"])
+
+    # Only crowded cells come to the driver: at most as many as the grid has cells.
+    sizes = units.mapInArrow(cell_batches, "cell long, members long, queries long").groupBy("cell").agg(F.sum("members").alias("m"), F.sum("queries").alias("q"))
+    sizes = sizes.where((F.col("m") > MEMBERS) | (F.col("q") > QUERIES)).collect()
+    blocks = {r["cell"]: (max(1, -(-r["m"] // MEMBERS)), max(1, -(-r["q"] // QUERIES))) for r in sizes}
+    stride = max([m for m, _ in blocks.values()], default=1) * max([q for _, q in blocks.values()], default=1)
+    dealt = units.mapInArrow(deal_batches(books, cells, width, blocks), f"key long, id long, query boolean, cell int, visits array<int>, v array<{kind}>")
+    met = dealt.repartition("key").sortWithinPartitions("key").mapInArrow(verify_batches(cosine, width, cells, stride), "id long, n long, a long, b long")
+    return ws.save(met, f"met{width}")
+
+
 def embedding_dedup(vectors: DataFrame, ws: Workspace, cosine: float = 0.95, recall: float = TARGET_RECALL, sample: int = SAMPLE, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
     """vec_id, n_links, component_id, kept for every row of ``vectors``.
 
@@ -203,43 +264,17 @@ def embedding_dedup(vectors: DataFrame, ws: Workspace, cosine: float = 0.95, rec
     order, as many as partners at just ``cosine`` need to be met with probability ``recall``. Every pair that meets is verified in double
     precision, so none below ``cosine`` is linked. Equal vectors under several ids always meet, having the same cell.
 
-    Null vectors, zero vectors, vectors with null or non-finite components and those of another length than the first valid one's (by
-    hash order) link with nothing: 0 links, a component of their own. Ids must be unique among linked rows; rows that repeat an id are one vector.
-    Null ids link with nothing. Extra columns are ignored; no rows give no rows.
+    Vectors of unlike lengths link with nothing of another length; each length has a grid of its own. Null vectors, zero vectors, and vectors with null
+    or non-finite components link with nothing: 0 links, a component of their own. Rows that repeat an id are one vector, the least of them; null ids link
+    with nothing. Extra columns are ignored; no rows give no rows.
     """
     rows = vectors.select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).alias("v"))
     named = rows.where("id is not null and v is not null and size(v) > 0 and not exists(v, x -> x is null or isnan(x) or abs(x) = double('infinity')) and exists(v, x -> x <> 0)")
-    drawn = named.orderBy(F.xxhash64("id"), "id").limit(sample).collect()
-    done = lambda df: df.select(F.col("id").alias(id_col), "n_links", "component_id", F.col("id").eqNullSafe(F.col("component_id")).alias("kept"))
-    if not drawn:
-        return done(rows.select("id", F.lit(0).cast("long").alias("n_links"), F.col("id").alias("component_id")))
-    width = len(drawn[0]["v"])
-    points = np.array([r["v"] for r in drawn if len(r["v"]) == width], np.float64)
-    points /= np.linalg.norm(points, axis=1, keepdims=True)
-    units = ws.save(named.dropDuplicates(["id"]).mapInArrow(unit_batches(width), "id long, v array<double>"), "units")
-    total = units.count()
-    side = int(np.clip(round((total / 400) ** 0.5), 1, 256))
-    half = width // 2
-    books = (codebook(points[:, :half], side), codebook(points[:, half:], side))
-    cells = cells_needed(points, books, cosine, recall)
-
-    def cell_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        grid = np.zeros((2, len(books[0]) * len(books[1])), np.int64)
-        for batch in batches:
-            visits = traverse(matrix(batch.column(1), width), books, cells)
-            grid[0] += np.bincount(visits[:, 0], minlength=grid.shape[1])
-            grid[1] += np.bincount(visits.ravel(), minlength=grid.shape[1])
-        yield pa.RecordBatch.from_arrays([pa.array(np.arange(grid.shape[1])), pa.array(grid[0]), pa.array(grid[1])], ["cell", "members", "queries"])
-
-    # One row per cell of the grid, at most 256 x 256, comes to the driver.
-    sizes = units.mapInArrow(cell_batches, "cell long, members long, queries long").groupBy("cell").agg(F.sum("members").alias("m"), F.sum("queries").alias("q")).collect()
-    blocks = {r["cell"]: (-(-r["m"] // MEMBERS), -(-r["q"] // QUERIES)) for r in sizes if r["m"] > MEMBERS or r["q"] > QUERIES}
-    blocks = {c: (max(1, m), max(1, q)) for c, (m, q) in blocks.items()}
-    stride = max([m for m, _ in blocks.values()], default=1) * max([q for _, q in blocks.values()], default=1)
-    dealt = units.mapInArrow(deal_batches(books, cells, width, blocks), "key long, id long, query boolean, cell int, visits array<int>, v array<double>")
-    met = dealt.repartition("key").sortWithinPartitions("key").mapInArrow(verify_batches(cosine, width, cells, stride), "id long, n long, a long, b long")
-    met = ws.save(met, "met")
+    named = ws.save(named.groupBy("id").agg(F.min("v").alias("v")), "named")
+    widths = [r[0] for r in named.select(F.size("v").alias("n")).distinct().orderBy("n").toLocalIterator()]
+    parts = [links_of(named.where(F.size("v") == n), n, ws, cosine, recall, sample) for n in widths]
+    met = reduce(DataFrame.unionByName, parts) if parts else named.sparkSession.createDataFrame([], "id long, n long, a long, b long")
     links = met.where("id is not null").groupBy("id").agg(F.sum("n").alias("n_links"))
-    parts = connected_components(met.where("a is not null").select("a", "b"), ws)
-    out = rows.select("id").join(links, "id", "left").join(parts.withColumnRenamed("node", "id"), "id", "left")
-    return done(out.select("id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), F.coalesce("component", "id").alias("component_id")))
+    found = connected_components(met.where("a is not null").select("a", "b"), ws)
+    out = rows.select("id").join(links, "id", "left").join(found.withColumnRenamed("node", "id"), "id", "left")
+    return out.select(F.col("id").alias(id_col), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), F.coalesce("component", "id").alias("component_id")).withColumn("kept", F.col(id_col).eqNullSafe(F.col("component_id")))
