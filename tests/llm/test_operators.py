@@ -486,6 +486,48 @@ def test_embeddings(spark):
     assert embeddings.embedding_dedup(spark.createDataFrame([], "vec_id long, embedding array<double>"), Workspace(spark, "t")).count() == 0
 
 
+@pytest.mark.parametrize("blocks", [False, True])
+def test_embeddings_at_the_default_recall(spark, monkeypatch, blocks):
+    """Single precision, lengths that differ, repeated ids, and crowded cells dealt in blocks: links as by brute force."""
+    if blocks:
+        monkeypatch.setattr(embeddings, "MEMBERS", 20)
+        monkeypatch.setattr(embeddings, "QUERIES", 50)
+    rng = np.random.default_rng(2)
+    tables = {}
+    for width, n in ((16, 900), (7, 300), (1, 5)):
+        base = rng.standard_normal((n // 5, width))
+        tables[width] = (base[np.arange(n) % len(base)] + rng.standard_normal((n, width)) * 0.05).astype(np.float32)
+    rows, want, links, vec = [], {}, 0, 0
+    for width, x in tables.items():
+        unit = x.astype(np.float64) / np.linalg.norm(x.astype(np.float64), axis=1, keepdims=True)
+        near = unit @ unit.T >= 0.95
+        np.fill_diagonal(near, False)
+        links += near.sum()
+        for k in range(len(x)):
+            want[vec] = int(near[k].sum())
+            rows.append((vec, x[k].tolist(), 7))
+            vec += 1
+    rows += [rows[3], (4, [9.0] * 16, 7)]  # the second is not the least of its id, as the first components are small
+    want_rows = len(rows)
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>, n_links int")
+    found = embeddings.embedding_dedup(df, Workspace(spark, "t")).collect()
+    got = {r.vec_id: r.n_links for r in found}
+    assert len(found) == want_rows and all(got[k] <= n for k, n in want.items()) and sum(got.values()) >= 0.9 * links
+    again = embeddings.embedding_dedup(df.repartition(5), Workspace(spark, "t")).collect()
+    assert Counter(map(tuple, found)) == Counter(map(tuple, again))
+
+
+def test_cells_are_ranked_as_they_are_visited():
+    rng = np.random.default_rng(4)
+    x = embeddings.units_of(rng.standard_normal((200, 8)))
+    books = (embeddings.codebook(x[:, :4], 6), embeddings.codebook(x[:, 4:], 5))
+    order = embeddings.traverse(x, books, 30)
+    assert order.shape == (200, 30) and all(len(set(o)) == 30 for o in order.tolist())
+    for place in (0, 3, 29):
+        assert np.abs(embeddings.ranks(x, order[:, place], books) - place).max() <= 1
+    assert (embeddings.traverse(x, books, 7) == order[:, :7]).all()
+
+
 def test_components(spark):
     edges = spark.createDataFrame([(k, k + 1) for k in range(60)] + [(100, 99), (99, 98), (5, 5), (None, 3)] + [(200, 300 + k) for k in range(50)], "a long, b long")
     got = {r.node: r.component for r in components.connected_components(edges, Workspace(spark, "t")).collect()}
