@@ -3,7 +3,8 @@
 Winnowing picks an anchor in every window of ``span`` bytes: the least hash of its ``gram``-byte strings. Equal windows have equal
 anchors, so only windows whose anchor stands in two documents can repeat. Their passages go to the shard that owns the anchor. There, copies of a
 passage are one entry, and passages that share an anchor but differ are indexed: a run-length compressed Burrows-Wheeler
-transform with samples at the runs' ends, over which every passage's matching statistics are streamed.
+transform with samples at the runs' ends, over which every passage's matching statistics are streamed. An anchor of very many rows would make a
+shard that no task can hold; windows with such an anchor are grouped by a 128-bit digest instead, each with its least document.
 """
 
 from __future__ import annotations
@@ -26,8 +27,12 @@ PIECE = 1 << 17
 UNIT_ANCHORS, UNIT_BYTES = 2_000_000, 24 << 20
 #: Windows of one passage at most; a run of equal anchors (periodic text) is cut into so many.
 WINDOWS = 64
-#: Bytes of text per bucket of anchors, and per shard of passages.
-BUCKET_BYTES = 64 << 20
+#: Bytes of text per bucket of anchors, and per task's shards of passages; shards that a task settles one after another.
+BUCKET_BYTES, SHARDS = 64 << 20, 4
+#: Rows with an anchor from which on its windows are grouped one by one: more would be too many unlike passages for one shard.
+CROWDED = 100_000
+#: Marks that a task gathers before it passes them on.
+UNIT_MARKS = 200_000
 NO_ID = -(1 << 63)
 
 
@@ -212,9 +217,10 @@ class Copies:
 
     def add(self, passage: bytes, h: int, doc: int, at: tuple[int, int], windows: int) -> None:
         found = self.by_bytes.get(passage)
+        self.size += 100
         if found is None:
             self.by_bytes[passage] = (h, doc, [at])
-            self.size += len(passage) + 200
+            self.size += len(passage) + 100
         elif found[1] == doc:
             found[2].append(at)
         elif found[1] < doc:
@@ -230,13 +236,42 @@ def marks(repeats: list[tuple[int, int, int, int]]) -> list[pa.Array]:
     return [pa.array(a[:, 0]), pa.array(a[:, 1]), pa.array((a[:, 2] << 16) | a[:, 3])]
 
 
+def asked_passages(data: np.ndarray, offsets: np.ndarray, asked: pa.ListArray, span: int, gram: int):
+    """Passages as by ``passages``, and which of them have an anchor that is among those asked for of their text."""
+    counts = np.diff(np.asarray(asked.offsets))
+    salt = lambda h, k: h ^ (k.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
+    known = np.unique(salt(asked.flatten().to_numpy().view(np.uint64), np.repeat(np.arange(len(counts)), counts)))
+    for h, number, first, windows in passages(data, offsets, span, gram):
+        key = salt(h & np.uint64((1 << ANCHOR_BITS) - 1), number)
+        at = np.minimum(np.searchsorted(known, key), max(len(known) - 1, 0))
+        yield h, number, first, windows, np.flatnonzero(known[at] == key) if len(known) else np.zeros(0, np.int64)
+
+
+def window_batches(span: int, gram: int):
+    """(row, text, doc, crowded anchors) to a row per window with such an anchor: (digest of its bytes, doc, row, place)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import xxhash
+
+        digest = xxhash.xxh3_128_digest
+        for batch in batches:
+            rows, (data, offsets), docs = batch.column(0).to_numpy(), buffer_of(batch.column(1)), batch.column(2).to_numpy()
+            for _, number, first, windows, hit in asked_passages(data, offsets, batch.column(3), span, gram):
+                own = np.repeat(hit, windows[hit])
+                at = first[own] + np.arange(len(own)) - np.repeat(np.cumsum(windows[hit]) - windows[hit], windows[hit])
+                digests = [digest(data[lo : lo + span].tobytes()) for lo in at.tolist()]
+                yield pa.RecordBatch.from_arrays([pa.array(digests, pa.binary()), pa.array(docs[number[own]]), pa.array(rows[number[own]]), pa.array(at - offsets[number[own]])], ["w", "doc", "row", "at"])
+
+    return run
+
+
 def passage_batches(span: int, gram: int, shards: int):
     """(row, text, doc, anchors that are shared) to rows for the shards: (shard, blob of passages), and settled marks (doc, row, mark)."""
 
     def flush(copies: Copies) -> Iterator[pa.RecordBatch]:
         by: dict[int, list] = {}
         for passage, (h, doc, places) in copies.by_bytes.items():
-            by.setdefault((h >> 40) % shards, []).append((passage, h, doc, places))
+            by.setdefault(((h * 0x9E3779B97F4A7C15 & (1 << 64) - 1) >> 32) % shards, []).append((passage, h, doc, places))
         keys, blobs = list(by), []
         for k in keys:
             flat = np.array([(len(p), h & 0xFFFFFFFF, doc, *at) for p, h, doc, places in by[k] for at in places], np.int64)
@@ -261,14 +296,7 @@ def passage_batches(span: int, gram: int, shards: int):
         copies = Copies()
         for batch in batches:
             rows, (data, offsets), docs = batch.column(0).to_numpy(), buffer_of(batch.column(1)), batch.column(2).to_numpy()
-            asked = batch.column(3)
-            counts = np.diff(np.asarray(asked.offsets))
-            salt = lambda h, k: h ^ (k.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
-            known = np.unique(salt(asked.flatten().to_numpy().view(np.uint64), np.repeat(np.arange(len(docs)), counts)))
-            for h, number, first, windows in passages(data, offsets, span, gram):
-                key = salt(h & np.uint64((1 << ANCHOR_BITS) - 1), number)
-                at = np.minimum(np.searchsorted(known, key), max(len(known) - 1, 0))
-                hit = np.flatnonzero(known[at] == key) if len(known) else np.zeros(0, np.int64)
+            for h, number, first, windows, hit in asked_passages(data, offsets, batch.column(3), span, gram):
                 inner = first[hit] - offsets[number[hit]]
                 for hh, d, row, lo, s, n in zip(h[hit].tolist(), docs[number[hit]].tolist(), rows[number[hit]].tolist(), first[hit].tolist(), inner.tolist(), windows[hit].tolist(), strict=True):
                     copies.add(data[lo : lo + n + span - 1].tobytes(), hh, d, (row, s), n)
@@ -485,6 +513,9 @@ def shard_batches(span: int):
                     yield from settle(copies)
                     copies = Copies()
                 now = shard
+                if len(copies.repeats) > UNIT_MARKS:
+                    yield pa.RecordBatch.from_arrays(marks(copies.repeats), ["doc", "row", "mark"])
+                    copies.repeats = []
                 heads, body, at = unsqueeze(batch.column(1)[k].as_py(), np.dtype((np.int64, 5))), batch.column(2)[k].as_py(), 0
                 body = pa.decompress(body[4:], int.from_bytes(body[:4], "little"), "zstd", asbytes=True)
                 for size, h, doc, row, s in heads.tolist():
@@ -522,7 +553,7 @@ def cut_batches(span: int, keep_text: bool):
     return run
 
 
-def repeat_dedup(docs: DataFrame, ws: Workspace, span: int = SPAN, gram: int = GRAM, id_col: str = "doc_id", text_col: str = "text", keep_text: bool = False) -> DataFrame:
+def repeat_dedup(docs: DataFrame, ws: Workspace, span: int = SPAN, gram: int = GRAM, crowded: int = CROWDED, id_col: str = "doc_id", text_col: str = "text", keep_text: bool = False) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256 (and the kept bytes) for every row of ``docs``.
 
     Removed is each byte covered by ``span`` bytes that also start in a document with a smaller id, as judged on the input;
@@ -536,20 +567,33 @@ def repeat_dedup(docs: DataFrame, ws: Workspace, span: int = SPAN, gram: int = G
     buckets = int(max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), total // BUCKET_BYTES, 1))
     def anchors() -> DataFrame:
         packed = rows.select("row", "text").mapInArrow(anchor_batches(span, gram, buckets), "bucket int, kind int, h binary, d binary, i binary, single binary")
-        shared = packed.repartition(buckets, "bucket").sortWithinPartitions("bucket").mapInArrow(shared_batches, "row long, h long")
+        shared = packed.repartitionById(buckets, F.col("bucket")).sortWithinPartitions("bucket").mapInArrow(shared_batches, "row long, h long")
         return ws.save(shared, "shared")
 
     def repeats(shared: DataFrame) -> DataFrame:
         asked = shared.groupBy("row").agg(F.collect_set("h").alias("hs"))
-        found = rows.join(asked, "row").mapInArrow(passage_batches(span, gram, buckets), "shard int, heads binary, body binary, doc long, row long, mark long")
-        found = found.repartition(buckets, "shard").sortWithinPartitions("shard").mapInArrow(shard_batches(span), "doc long, row long, mark long")
+        found = rows.join(asked, "row").mapInArrow(passage_batches(span, gram, buckets * SHARDS), "shard int, heads binary, body binary, doc long, row long, mark long")
+        found = found.repartitionById(buckets, F.floor(F.col("shard") / SHARDS).cast("int")).sortWithinPartitions("shard").mapInArrow(shard_batches(span), "doc long, row long, mark long")
         return ws.save(found, "marks")
 
+    def crowded_repeats(asked: DataFrame) -> DataFrame:
+        windows = ws.save(rows.join(asked, "row").mapInArrow(window_batches(span, gram), "w binary, doc long, row long, at long"), "windows")
+        least = windows.groupBy("w").agg(F.min("doc").alias("least"), F.max("doc").alias("most")).where("most > least").select("w", "least")
+        later = windows.join(least, "w").where("doc > least").select("doc", "row", F.shiftleft("at", 16).bitwiseOR(F.lit(1).cast("long")).alias("mark"))
+        return ws.save(later, "crowded_marks")
+
     # Each step's frames are gone when it returns, and with them its shuffles.
     shared = anchors()
     ws.tidy()
-    found = repeats(shared)
-    ws.drop("shared")
+    heavy = ws.save(shared.groupBy("h").agg(F.count("*").alias("n")).where(F.col("n") > crowded).select("h"), "heavy")
+    if heavy.head(1):
+        light = ws.save(shared.join(heavy, "h", "left_anti"), "light")
+        more = crowded_repeats(shared.join(heavy, "h", "left_semi").groupBy("row").agg(F.collect_set("h").alias("hs")))
+        found = repeats(light).unionByName(more)
+        ws.drop("light", "windows")
+    else:
+        found = repeats(shared)
+    ws.drop("shared", "heavy")
     ws.tidy()
     own = found.groupBy("row", "doc").agg(F.collect_list("mark").alias("marks"))
     left = rows.join(own, ["row", "doc"], "left").select("doc", "text", "marks").mapInArrow(cut_batches(span, keep_text), "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary")
