@@ -170,8 +170,8 @@ def build_index(docs: DataFrame, rows: DataFrame, ws: Workspace, capacity: int =
     directory = directory_of(ws.save(rows.select("key").distinct(), "keys"), capacity)
     lows = np.array(directory.lows, np.int64)
     total = rows.agg(F.sum("n")).first()[0] or 0
-    owners = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), total // OWNER_BYTES)
-    owned = docs.mapInArrow(entry_batches(lows), ENTRY).repartition(owners, "bucket").sortWithinPartitions("bucket", "key", "n", "sha")
+    owners = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), int(total // OWNER_BYTES))
+    owned = docs.mapInArrow(entry_batches(lows), ENTRY).repartitionById(owners, F.pmod("bucket", F.lit(owners)).cast("int")).sortWithinPartitions("bucket", "key", "n", "sha")
     return ws.save(owned.mapInArrow(owner_batches, INDEX), "index"), directory
 
 
