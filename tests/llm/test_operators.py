@@ -116,7 +116,8 @@ def test_links_join_what_all_pairs_join(spark, longest):
     assert sorted(map(sorted, mine.values())) == sorted(map(sorted, theirs.values()))
 
 
-def test_repeats(spark, docs, rows, none):
+def left_of(rows):
+    """What ``repeat_dedup`` should give."""
     least = lambda i: -(1 << 63) if i is None else i
     first = {}
     for i, t in rows:
@@ -132,8 +133,27 @@ def test_repeats(spark, docs, rows, none):
                 gone[p : p + 50] = b"\1" * 50
         spans = sum(g and not (p and gone[p - 1]) for p, g in enumerate(gone))
         want[i, len(t), sum(gone), spans, hashlib.sha256(bytes(c for c, g in zip(t, gone) if not g)).hexdigest()] += 1
-    assert Counter(map(tuple, runindex.repeat_dedup(docs, Workspace(spark, "t")).collect())) == want
-    assert runindex.repeat_dedup(none, Workspace(spark, "t")).count() == 0
+    return want
+
+
+@pytest.mark.parametrize("crowded", [100_000, 3, 0])
+def test_repeats(spark, docs, rows, none, crowded):
+    assert Counter(map(tuple, runindex.repeat_dedup(docs, Workspace(spark, "t"), crowded=crowded).collect())) == left_of(rows)
+    assert runindex.repeat_dedup(none, Workspace(spark, "t"), crowded=crowded).count() == 0
+
+
+@pytest.mark.parametrize("crowded", [100_000, 50])
+def test_repeats_with_a_common_anchor_in_many_contexts(spark, crowded):
+    """A string of 40 bytes in 400 texts, its neighbours unlike or alike for a few bytes, and very long texts over several pieces."""
+    rng = random.Random(12)
+    word = lambda n: "".join(rng.choices("abcdefghij", k=n))
+    common, sides = word(40), [word(12) for _ in range(5)]
+    texts = [word(rng.randrange(0, 30)) + rng.choice(sides) + common + rng.choice(sides) + word(rng.randrange(0, 30)) for _ in range(400)]
+    long = word(150_000)
+    texts += [long, word(70) + long[100_000:] + long[:40_000], "x" * 140_000, "x" * 200]
+    own = list(enumerate(texts))
+    df = spark.createDataFrame(own, "doc_id long, text string").repartition(3)
+    assert Counter(map(tuple, runindex.repeat_dedup(df, Workspace(spark, "t"), crowded=crowded).collect())) == left_of(own)
 
 
 def test_matching_statistics():
