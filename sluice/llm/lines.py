@@ -15,7 +15,7 @@ from .common import Workspace, text_of
 RUN = 3
 #: Words that make a run of fewer lines: a passage of over 50 words may be one or two lines.
 RUN_WORDS = 50
-#: Parts that the places of a fingerprint are dealt to.
+#: Parts that the places of a fingerprint, or of an extent, are dealt to.
 SALTS = 8
 MARK = "named boolean, id long, row long, fp long, at int, windows array<struct<at:int,size:int,digest:binary>>"
 
@@ -120,8 +120,9 @@ def line_dedup(docs: DataFrame, ws: Workspace, run: int = RUN, words: int | None
     extents = salted.join(shared, ["fp", "salt"], "left_semi").select("named", "id", "row", F.explode("windows").alias("w")).select("named", "id", "row", "w.*")
     extents = ws.save(extents, "extents")
     place = F.struct("named", "id", "row", "at")
-    first = extents.groupBy("digest").agg(F.min(place).alias("first"), F.count("*").alias("n")).where("n > 1").select("digest", "first")
-    later = extents.join(first, "digest").where(place != F.col("first"))
+    first = extents.groupBy("digest").agg(F.min(place).alias("first"), F.count("*").alias("n")).where("n > 1")
+    first = first.select("digest", "first", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
+    later = extents.withColumn("salt", F.pmod("row", F.lit(SALTS)).cast("int")).join(first, ["digest", "salt"]).where(place != F.col("first"))
     starts = later.groupBy("named", "id", "row").agg(F.collect_set(F.struct("at", "size")).alias("starts"))
     cut = rows.join(starts, ["named", "id", "row"], "left").select("named", "id", "text", "starts").mapInArrow(cut_batches(), "named boolean, id long, text string, n_lines long, n_removed long, n_runs long")
     return cut.select(F.when(F.col("named"), F.col("id")).alias("doc_id"), "text", "n_lines", "n_removed", "n_runs")
