@@ -53,10 +53,23 @@ def result_rows(rows: DataFrame, aliases: list[str]) -> DataFrame:
 
 
 def stateless_anomalies(events: DataFrame, rule: Rule, sets=None) -> DataFrame:
-    """A rule without window: each event whose own fields breach the threshold, without any exchange."""
-    key = group_key(rule.keys)
+    """A rule without window: each event whose own fields breach the threshold, without any exchange.
+
+    The fields are read once an event, ahead of the threshold, which names each of them several times over.
+    """
+    key, fields = group_key(rule.keys), {}
+
+    def names(name: str) -> tuple[str, Column]:
+        kind, column = over_events(name)
+        if kind != "any":
+            return kind, column
+        fields.setdefault(name, (f"f{len(fields)}", column))
+        return kind, F.col(f"_fields.{fields[name][0]}")
+
+    breach = compile_having(rule.having, names)
     rows = matching(events, rule, sets) if rule.active and wanted(rule) else events.where("false")
-    breach = compile_having(rule.having, over_events)
+    if fields:  # a generator is what the optimizer does not copy the fields' expressions across
+        rows = rows.withColumn("_fields", F.explode(F.array(F.struct(*[c.alias(a) for a, c in fields.values()]))))
     return rows.where(breach).select(F.lit(rule.rule_id).alias("rule_id"), entity(rule.entity_field, key).alias("entity"), "offset", "event_ms", F.lit(rule.penalty_ttl_seconds).alias("penalty_ttl_seconds"))
 
 
