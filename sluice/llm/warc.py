@@ -250,10 +250,14 @@ def write_archives(pages: DataFrame, ws: Workspace, root: str, least: int = 0, d
     payload = F.coalesce(F.col("html"), F.lit("")).cast("binary")
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), payload.alias("payload"), F.sha1(payload).alias("hex"))
     known = plan(pages, least).groupBy("page_id", "hex", "digest", "record_type", "refers_to").agg(F.count("*").alias("rows"))
+    known = ws.save(known, "plan")
     same = rows.page_id.eqNullSafe(known.page_id) & (rows.hex == known.hex)
     records = rows.join(known, same).select(rows.page_id, "url", "payload", F.octet_length("payload").cast("long").alias("n"), "digest", "record_type", "refers_to", "rows")
-    again = records.where("rows > 1").withColumn("copy", F.row_number().over(W.partitionBy("page_id", "digest").orderBy("url")) - 1)
-    records = records.where("rows = 1").withColumn("copy", F.lit(0)).unionByName(again)
+    once = records.withColumn("copy", F.lit(0))
+    if known.where("rows > 1").head(1):  # only these rows need an order, for which the payloads are read a second time
+        again = records.where("rows > 1").withColumn("copy", F.row_number().over(W.partitionBy("page_id", "digest").orderBy("url")) - 1)
+        once = once.where("rows = 1").unionByName(again)
+    records = once
     last = F.when(F.col("record_type") == "response", F.greatest(F.ceil(F.col("n") / chunk) - 1, F.lit(0))).otherwise(F.lit(0)).cast("int")
     piece = F.when(F.col("record_type") == "response", F.substring("payload", F.col("chunk_no") * chunk + 1, F.lit(chunk))).otherwise(F.lit(b""))
     chunks = records.withColumn("chunk_no", F.explode(F.sequence(F.lit(0), last))).select("page_id", "url", "n", "digest", "record_type", "refers_to", "copy", "chunk_no", piece.alias("chunk"))
