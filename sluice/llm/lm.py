@@ -8,7 +8,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import LOWER, Workspace, text_of
@@ -21,28 +21,32 @@ FLUSH = 400_000
 #: Added to every piece's count.
 PRIOR = 0.01
 #: Passes that re-estimate the pieces' probabilities over all segmentations.
-PASSES = 2
+PASSES = 4
+#: Weight, in words, of the corpus against the words that a text has had before.
+TEXT_WEIGHT = 300
+#: Weight, in words, of a rarer word's own probability against the words seen after the word before.
+CONTEXT_WEIGHT = 100
+#: Words of no training text that occur more often are dealt to SALTS tasks: the HOT_WORDS most frequent of them, so any other is a small share of all rows.
+HOT, HOT_WORDS, SALTS = 100_000, 1_000, 64
+#: Bytes of text that a task scores at a time, or one longer text.
+TOGETHER = 1 << 20
 
 
 def count_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(train, text) to (word, c): counts in training texts, and 0 for words of the other texts."""
-    seen: Counter = Counter()
+    """(train, text) to (word, c, other): counts in training texts and in the other texts."""
+    seen: tuple[Counter, Counter] = (Counter(), Counter())
 
     def flush() -> pa.RecordBatch:
-        out = pa.RecordBatch.from_arrays([pa.array(list(seen.keys()), pa.binary()), pa.array(list(seen.values()), pa.int64())], ["word", "c"])
-        seen.clear()
+        words = list(seen[0] | seen[1])
+        out = pa.RecordBatch.from_arrays([pa.array(words, pa.binary()), *(pa.array([k[w] for w in words], pa.int64()) for k in seen)], ["word", "c", "other"])
+        for k in seen:
+            k.clear()
         return out
 
     for batch in batches:
         for train, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-            words = text.as_py().translate(LOWER).split()
-            if train:
-                seen.update(words)
-            else:
-                for w in words:
-                    if w not in seen:
-                        seen[w] = 0
-            if len(seen) > FLUSH:
+            seen[0 if train else 1].update(text.as_py().translate(LOWER).split())
+            if len(seen[0]) + len(seen[1]) > FLUSH:
                 yield flush()
     yield flush()
 
@@ -103,39 +107,108 @@ def word_batches(vocabulary: Vocabulary, log_p, totals: tuple[int, int, int], kn
     return run
 
 
+def running(codes: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """For each word of texts in a row: its text, its place there, how often the text has had it before, and how many distinct words it has had."""
+    doc = np.repeat(np.arange(len(sizes)), sizes)
+    begin = np.cumsum(sizes) - sizes
+    at = np.arange(len(codes)) - begin[doc]
+    order = np.lexsort((codes, doc))
+    changes = np.ones(len(codes), bool)
+    changes[1:] = (codes[order][1:] != codes[order][:-1]) | (doc[order][1:] != doc[order][:-1])
+    starts = np.flatnonzero(changes)
+    seen = np.empty(len(codes), np.int64)
+    seen[order] = np.arange(len(codes)) - np.repeat(starts, np.diff(np.append(starts, len(codes))))
+    before = np.concatenate(([0], np.cumsum(seen == 0)))
+    return doc, at, seen, before[:-1] - before[begin[doc]]
+
+
 def document_batches(held, end: tuple[float, float, bool]):
-    """(row, doc_id, train, text) to a row per text with what held words give, and a row per text and other word with its count."""
+    """(row, doc_id, train, text) to a row per text with what held words give, and a row per occurrence of another word with what came before it.
+
+    ``prev`` is the held word before (-1: none), ``seen``, ``had`` and ``at`` are as in ``running``; ``salt`` deals the hot words.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = held.value
+        number, bases, scores, hot = held.value
+        stop = 10 ** end[1]
         for batch in batches:
-            rows, sums, rest = batch.column(0).to_pylist(), [], []
-            for row, text in zip(rows, batch.column(3), strict=True):
-                words = Counter(text.as_py().translate(LOWER).split())
-                n, known, base, score = 1, int(end[2]), end[0], end[1]
-                for w, k in words.items():
-                    n += k
-                    if (found := table.get(w)) is None:
-                        rest.append((row, w, k))
-                    else:
-                        known += k
-                        base += k * found[0]
-                        score += k * found[1]
-                sums.append((row, n, known, base, score))
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array([s[0] for s in sums] + [r[0] for r in rest], pa.int64()),
-                    pa.array([None] * len(sums) + [r[1] for r in rest], pa.binary()),
-                    pa.array([s[1] for s in sums] + [r[2] for r in rest], pa.int64()),
-                    *(pa.array([s[k] for s in sums] + [None] * len(rest), t) for k, t in ((2, pa.int64()), (3, pa.float64()), (4, pa.float64()))),
-                    *(pa.concat_arrays([batch.column(k), pa.nulls(len(rest), batch.column(k).type)]) for k in (1, 2)),
-                ],
-                ["row", "word", "n", "known", "base", "score", "doc_id", "train"],
-            )
+            sizes = [len(t.as_buffer()) for t in batch.column(3)]
+            lo = 0
+            while lo < batch.num_rows:
+                hi, load = lo + 1, sizes[lo]
+                while hi < batch.num_rows and load + sizes[hi] <= TOGETHER:
+                    load += sizes[hi]
+                    hi += 1
+                yield block(batch.slice(lo, hi - lo), number, bases, scores, hot, stop)
+                lo = hi
+
+    def block(batch: pa.RecordBatch, number: dict, bases: np.ndarray, scores: np.ndarray, hot: frozenset, stop: float) -> pa.RecordBatch:
+        texts = [t.translate(LOWER).split() for t in batch.column(3).to_pylist()]
+        words, count = [w for t in texts for w in t], np.array([len(t) for t in texts])
+        own: dict[bytes, int] = {}
+        codes = np.array([number[w] if w in number else own.setdefault(w, len(number) + len(own)) for w in words], np.int64)
+        doc, at, seen, had = running(codes, count)
+        known = codes < len(number)
+        d, k, total = doc[known], codes[known], (at + had + TEXT_WEIGHT)[known]
+        fresh = (had[known] + TEXT_WEIGHT) / total
+        score = np.log10((1 - stop) * seen[known] / total + fresh * 10.0 ** scores[k])
+        prev = np.full(len(codes), -1, np.int64)
+        prev[1:] = np.where((at[1:] > 0) & known[:-1], codes[:-1], -1)
+        rest, row = np.flatnonzero(~known), batch.column(0).to_numpy()
+        others, train = [words[i] for i in rest], batch.column(2)
+        salt = np.array([i % SALTS if w in hot else 0 for i, w in zip(rest.tolist(), others, strict=True)], np.int32) if hot else np.zeros(len(rest), np.int32)
+
+        def column(whole, each, kind: pa.DataType) -> pa.Array:
+            parts = [pa.nulls(n, kind) if values is None else pa.array(values, kind) for values, n in ((whole, len(texts)), (each, len(rest)))]
+            return pa.concat_arrays(parts)
+
+        tally = np.bincount(d, minlength=len(texts))
+        return pa.RecordBatch.from_arrays(
+            [
+                column(row, row[doc[rest]], pa.int64()),
+                column(None, others, pa.binary()),
+                *(column(None, values, pa.int32()) for values in (prev[rest], seen[rest], had[rest], at[rest], salt)),
+                column(1 + tally, np.ones(len(rest), np.int64), pa.int64()),
+                column(int(end[2]) + tally, None, pa.int64()),
+                column(end[0] + np.bincount(d, bases[k], len(texts)), None, pa.float64()),
+                column(end[1] + np.bincount(d, score, len(texts)), None, pa.float64()),
+                pa.concat_arrays([batch.column(1), pa.nulls(len(rest), pa.int64())]),
+                pa.concat_arrays([train, train.take(pa.array(doc[rest]))]),
+            ],
+            ["row", "word", "prev", "seen", "had", "at", "salt", "n", "known", "base", "score", "doc_id", "train"],
+        )
 
     return run
 
 
+PARTS = "row long, word binary, prev int, seen int, had int, at int, salt int, n long, known long, base double, score double, doc_id long, train boolean"
+
+
+def other_words(parts: DataFrame, scored: DataFrame, hot: list[bytes], rest: float, stop: float) -> DataFrame:
+    """row, n, known, base, score of every occurrence of a word that tasks don't hold: one shuffle by word brings occurrences, their pairs and the word's scores together.
+
+    The word's probability after a held word: its share of the rarer words seen there in training, smoothed by CONTEXT_WEIGHT words of its own
+    probability. ``rest`` is the probability of all words not held, ``stop`` the end's.
+    """
+    each = parts.where("word is not null").select("row", "word", "salt", "prev", "seen", "had", "at", "train")
+    # At most one row per held word.
+    contexts = each.where("train and prev >= 0").groupBy("prev").agg(F.count("*").alias("after"))
+    salts = F.when(F.col("word").isin(hot), F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0))) if hot else F.array(F.lit(0))
+    own = scored.select("word", F.explode(salts).alias("salt"), "c", F.col("base").alias("own_base"), F.col("score").alias("own"))
+    both = each.unionByName(own, allowMissingColumns=True)
+    by_word, by_pair = Window.partitionBy("word", "salt"), Window.partitionBy("word", "salt", "prev")
+    both = both.withColumn("pair", F.sum(F.when(F.col("train") & (F.col("prev") >= 0), 1).otherwise(0)).over(by_pair))
+    for name in ("c", "own_base", "own"):
+        both = both.withColumn(name, F.max(name).over(by_word))
+    both = both.where("row is not null").join(F.broadcast(contexts), "prev", "left").withColumn("after", F.coalesce("after", F.lit(0)))
+    total = F.col("at") + F.col("had") + TEXT_WEIGHT
+    fresh = (F.col("had") + TEXT_WEIGHT) / total
+    alone = F.log10(fresh) + F.log10(F.lit(float(CONTEXT_WEIGHT)) / (F.col("after") + CONTEXT_WEIGHT)) + F.col("own")  # very long words: below any double
+    inner = (F.col("pair") * rest + F.pow(F.lit(10.0), "own") * CONTEXT_WEIGHT) / (F.col("after") + CONTEXT_WEIGHT)
+    score = F.greatest(alone, F.log10(F.col("seen") * (1 - stop) / total + fresh * inner))
+    return both.select("row", F.lit(1).cast("long").alias("n"), (F.col("c") > 0).cast("long").alias("known"), F.col("own_base").alias("base"), score.alias("score"))
+
+
 def lm_scores(docs: DataFrame, train: Column, ws: Workspace, path: str = MODEL, id_col: str = "doc_id", text_col: str = "text", held_words: int = HELD_WORDS, passes: int = PASSES) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score for every row of ``docs``.
 
@@ -146,31 +219,38 @@ def lm_scores(docs: DataFrame, train: Column, ws: Workspace, path: str = MODEL,
     weigh as much as Good-Turing leaves to seen words (1 - words seen once / tokens). The end has its relative frequency. Probabilities of
     all texts sum to at most 1.
 
-    Words go through the lattice once each, however often they occur. Scores of the ``held_words`` most frequent words are held by every task (a
-    fixed number of rows); all others are joined by word. Null texts are empty: one token. A null id counts as the text 'null' in
+    Two more kinds of arcs make it a model of texts. The words that a text has had before weigh by their counts there, against distinct words so
+    far and TEXT_WEIGHT (300) for the corpus. After one of the ``held_words`` most frequent training words, a rarer word weighs by its count after
+    that word in all training texts, against CONTEXT_WEIGHT (100) for its own probability.
+
+    Words go through the lattice once each, however often they occur. Scores of the held words are held by every task (a
+    fixed number of rows); occurrences of all others meet their scores and contexts in one shuffle by word. Null texts are empty: one token. A null id counts as the text 'null' in
     the split. Without training rows every word is unknown. Extra columns are ignored; repeated rows are scored each.
     """
     vocabulary, spark = load(path), docs.sparkSession
     base = docs.select(F.col(id_col).cast("long").alias("doc_id"), train.alias("train"), text_of(text_col).alias("text"))
-    words = base.select("train", "text").mapInArrow(count_batches, "word binary, c long").groupBy("word").agg(F.sum("c").alias("c"))
+    words = base.select("train", "text").mapInArrow(count_batches, "word binary, c long, other long").groupBy("word").agg(F.sum("c").alias("c"), F.sum("other").alias("other"))
     words = ws.save(words, "counts")
     ends = base.where("train").count()
     found = words.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("n"), F.count(F.when(F.col("c") > 0, 1)).alias("v"), F.count(F.when(F.col("c") == 1, 1)).alias("once")).first()
     n, v = int(found["n"]) + ends, int(found["v"]) + (ends > 0)
     share = max(0.0, 1 - found["once"] / n) if n else 0.0
     log_p = piece_scores(words.where("c > 0"), vocabulary, passes)
-    scored = ws.save(words.mapInArrow(word_batches(vocabulary, log_p, (n, ends, v), share), "word binary, c long, base double, score double"), "words")
+    hot = [bytes(r["word"]) for r in words.where((F.col("c") == 0) & (F.col("other") > HOT)).orderBy(F.desc("other"), "word").limit(HOT_WORDS).collect()]
+    scored = ws.save(words.select("word", "c").mapInArrow(word_batches(vocabulary, log_p, (n, ends, v), share), "word binary, c long, base double, score double"), "words")
     ws.drop("counts")
     ws.tidy()
     top = scored.where("c > 0").orderBy(F.desc("c"), "word").limit(held_words).select("word", "base", "score")
-    held = spark.sparkContext.broadcast({bytes(r[0]): (r[1], r[2]) for r in top.collect()})
+    top = top.collect()
+    bases, scores = np.array([r["base"] for r in top], float), np.array([r["score"] for r in top], float)
+    held = spark.sparkContext.broadcast(({bytes(r["word"]): k for k, r in enumerate(top)}, bases, scores, frozenset(hot)))
     end_base, end_score = math.log10((ends + 0.5) / (n + 0.5 * (v + 1))), math.log10(ends / n) if ends else math.log10(0.5 / (n + 0.5 * (v + 1)))
+    stop = 10**end_score
+    rest = max(0.0, 1 - stop - float((10.0**scores).sum()))
     # Rows are numbered in one job only, whose output is written: what is read of it is the same for every later step.
     rows = base.select(F.monotonically_increasing_id().alias("row"), "doc_id", "train", "text")
-    parts = rows.mapInArrow(document_batches(held, (end_base, end_score, ends > 0)), "row long, word binary, n long, known long, base double, score double, doc_id long, train boolean")
-    parts = ws.save(parts, "parts")
-    others = parts.where("word is not null").select("row", "word", "n").join(scored, "word")
-    others = others.select("row", F.lit(0).cast("long").alias("n"), F.when(F.col("c") > 0, F.col("n")).otherwise(0).alias("known"), (F.col("base") * F.col("n")).alias("base"), (F.col("score") * F.col("n")).alias("score"))
-    whole = parts.where("word is null").drop("word").unionByName(others, allowMissingColumns=True)
+    parts = ws.save(rows.mapInArrow(document_batches(held, (end_base, end_score, ends > 0)), PARTS), "parts")
+    whole = parts.where("word is null").select("row", "n", "known", "base", "score", "doc_id", "train")
+    whole = whole.unionByName(other_words(parts, scored, hot, rest, stop), allowMissingColumns=True)
     sums = whole.groupBy("row").agg(*(F.sum(c).alias(c) for c in ("n", "known", "base", "score")), F.max("doc_id").alias("doc_id"), F.max("train").alias("train"))
     return sums.select("doc_id", (~F.col("train")).alias("held_out"), F.col("n").alias("n_tokens"), F.col("known").alias("n_known"), F.lit(n).cast("long").alias("train_tokens"), F.col("base").alias("base_score"), "score")

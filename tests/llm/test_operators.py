@@ -2,6 +2,7 @@
 
 import base64
 import hashlib
+import math
 import random
 import zlib
 from collections import Counter, defaultdict
@@ -398,6 +399,44 @@ def test_lm(spark, docs, rows, none):
     assert all(r.score < 0 for r in got) and lm.lm_scores(none, bucket_of("doc_id", 5) != 1, Workspace(spark, "t")).count() == 0
 
 
+@pytest.mark.parametrize("hot", [100_000, 0])
+def test_lm_scores_by_plain_counting(spark, docs, rows, monkeypatch, hot):
+    """Every token's probability from whole counts, one after another; also with every unknown word dealt as a hot one."""
+    monkeypatch.setattr(lm, "HOT", hot)
+    got = Counter((r.doc_id, r.n_tokens, round(r.score, 6)) for r in lm.lm_scores(docs, bucket_of("doc_id", 5) != 1, Workspace(spark, "t"), held_words=3).collect())
+    plain = [(i, zlib.crc32(str("null" if i is None else i).encode()) % 5 != 1, (t or "").encode().translate(LOWER).split()) for i, t in rows]
+    c = Counter(w for _, train, ws in plain if train for w in ws)
+    ends = sum(train for _, train, _ in plain)
+    n = sum(c.values()) + ends
+    share, stop = 1 - sum(k == 1 for k in c.values()) / n, ends / n
+    vocabulary = subword.load()
+    log_p = lm.piece_scores(spark.createDataFrame([(bytearray(w),) for w in c], "word binary"), vocabulary, lm.PASSES)
+    every = sorted({w for _, _, ws in plain for w in ws})
+    spelled = dict(zip(every, subword.Automaton(vocabulary).likelihood([b" " + w for w in every], log_p), strict=True))
+    p = {w: share * c[w] / n + (1 - share) * (1 - stop) * math.exp(spelled[w]) for w in every}
+    held = set(sorted(c, key=lambda w: (-c[w], w))[:3])
+    rest = 1 - stop - sum(p[w] for w in held)
+    pairs = Counter((a, b) for _, train, ws in plain if train for a, b in zip(ws, ws[1:], strict=False) if a in held and b not in held)
+    after = Counter()
+    for (a, _), k in pairs.items():
+        after[a] += k
+    want = Counter()
+    for i, _, ws in plain:
+        score, had = math.log10(stop), Counter()
+        for at, w in enumerate(ws):
+            own, log_own, a = p[w], math.log10(p[w]) if p[w] else spelled[w] / math.log(10) + math.log10((1 - share) * (1 - stop)), ws[at - 1] if at else None
+            if w not in held and a in held:
+                scale = lm.CONTEXT_WEIGHT / (after[a] + lm.CONTEXT_WEIGHT)
+                own, log_own = rest * pairs[a, w] / (after[a] + lm.CONTEXT_WEIGHT) + own * scale, log_own + math.log10(scale)
+            total = at + len(had) + lm.TEXT_WEIGHT
+            fresh = (len(had) + lm.TEXT_WEIGHT) / total
+            now = (1 - stop) * had[w] / total + fresh * own
+            score += math.log10(now) if now > 0 else math.log10(fresh) + log_own
+            had[w] += 1
+        want[i, len(ws) + 1, round(score, 6)] += 1
+    assert got == want
+
+
 def test_lattice_sums_over_all_segmentations():
     a = subword.automaton(subword.load())
     pieces = {p: i for i, (p, n) in enumerate(zip(a.vocabulary.pieces, a.vocabulary.normal, strict=True)) if n}
