@@ -11,6 +11,7 @@ import json
 import math
 import time
 from collections.abc import Callable, Iterator
+from dataclasses import asdict, replace
 
 import numpy as np
 import pandas as pd
@@ -23,7 +24,7 @@ from ..functions.fields import entity, group_key
 from ..operators.aggregates import DISTINCT_CAP, HLL_BITS, compile_all
 from ..operators.routing import matching
 from ..operators.windows import event_time
-from ..plans.rules import Rule
+from ..plans.rules import Aggregation, Rejected, Rule, Sinks, Windowing, of
 
 STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 DEDUP_TTL_MS = 900_000
@@ -87,6 +88,27 @@ def cardinality(sketches: list[str]) -> float:
     return float(round(m * math.log(m / empty) if empty and raw <= 2.5 * m else raw))
 
 
+#: A pane's number of events, beside its partials by alias, none of which has a NUL.
+ROWS = "\0rows"
+
+
+def source(spec: Aggregation) -> tuple[str, str | None]:
+    """What an aggregate reads from an event: aggregates of one source share a column."""
+    if spec.function == "COUNT_DISTINCT":
+        return ("sketch" if spec.high_cardinality else "text"), spec.field
+    return ("number", spec.field) if spec.function in ("SUM", "AVG", "MIN", "MAX") else ("none", None)
+
+
+def snapshot(rule: Rule) -> str:
+    """The part of a rule that a group's state holds."""
+    return json.dumps({"windowing": asdict(rule.windowing), "aggregations": [asdict(a) for a in rule.aggregations], "having": rule.having, "sinks": asdict(rule.sinks)}, sort_keys=True)
+
+
+def restored(rule: Rule, text: str) -> Rule:
+    held = json.loads(text)
+    return replace(rule, windowing=Windowing(**held["windowing"]), aggregations=tuple(Aggregation(**a) for a in held["aggregations"]), having=held["having"], sinks=Sinks(**held["sinks"]))
+
+
 class Panes:
     """Partials of one group's panes as plain values; what the state map holds as JSON."""
 
@@ -97,7 +119,7 @@ class Panes:
         return ms - (ms - self.w.offset) % self.w.slide
 
     def add(self, pane: dict, values: list) -> None:
-        pane["n"] = pane.get("n", 0) + 1
+        pane[ROWS] = pane.get(ROWS, 0) + 1
         for spec, v in zip(self.rule.aggregations, values, strict=True):
             if v is None or isinstance(v, float) and math.isnan(v):
                 continue
@@ -112,12 +134,28 @@ class Panes:
                 if len(held) < DISTINCT_CAP:
                     held[v] = 1
 
+    def joined(self, panes: list[dict]) -> dict:
+        """Panes in order of time as one."""
+        out = {ROWS: sum(p[ROWS] for p in panes)}
+        for spec in self.rule.aggregations:
+            parts, kind = [p[spec.alias] for p in panes if spec.alias in p], source(spec)[0]
+            if kind == "none" or not parts:
+                continue
+            if kind == "sketch":
+                out[spec.alias] = "".join(map(max, *parts)) if len(parts) > 1 else parts[0]
+            elif kind == "text":
+                out[spec.alias] = dict.fromkeys(list(dict.fromkeys(v for p in parts for v in p))[:DISTINCT_CAP], 1)
+            else:
+                s, c, lo, hi = zip(*parts, strict=True)
+                out[spec.alias] = (sum(s), sum(c), min(lo), max(hi))
+        return out
+
     def merged(self, panes: list[dict]) -> dict[str, float]:
         out = {}
         for spec in self.rule.aggregations:
             f, parts = spec.function, [p[spec.alias] for p in panes if spec.alias in p]
             if f == "COUNT":
-                out[spec.alias] = float(sum(p["n"] for p in panes))
+                out[spec.alias] = float(sum(p[ROWS] for p in panes))
             elif f == "COUNT_DISTINCT" and spec.high_cardinality:
                 out[spec.alias] = cardinality(parts) if parts else 0.0
             elif f == "COUNT_DISTINCT":
@@ -137,11 +175,26 @@ class Evaluator(StatefulProcessor):
     allowed lateness are dropped then, of all aliases. A late event within the lateness emits its window again at once, not final;
     one beyond it is still added, and its timer makes a second final row. ``status`` gives the rule's present status at a close (None: unknown, as it was):
     results of a rule that is no longer active are not emitted. State of a group without events for ``ttl_ms`` goes.
+
+    ``rules`` gives the rule as it is now (None: unknown, as it was) and takes the place of ``status``. A group takes a changed rule with its next event and
+    holds that snapshot for its timers; only the status is looked up at a close. Events of a rule that isn't active are left out. On another grid of panes
+    a kept pane goes, whole, where it began, and windows that end on the old grid no longer close; an alias with another source begins anew.
     """
 
-    def __init__(self, rule: Rule, n_values: int, status: Callable[[str], str | None] | None = None, early_interval_ms: int | None = EARLY_INTERVAL_MS, ttl_ms: int = STATE_TTL_MS):
+    def __init__(
+        self,
+        rule: Rule,
+        n_values: int,
+        status: Callable[[str], str | None] | None = None,
+        early_interval_ms: int | None = EARLY_INTERVAL_MS,
+        ttl_ms: int = STATE_TTL_MS,
+        rules: Callable[[str], Rule | None] | None = None,
+        columns: list[tuple[str, str | None]] | None = None,
+    ):
         self.rule, self.n, self.status, self.early, self.ttl = rule, n_values, status, early_interval_ms, ttl_ms
         self.read_at, self.live, self.open = None, None, {}
+        self.rules, self.first, self.present, self.known = rules, rule, rule, {}
+        self.columns = columns or [source(a) for a in rule.aggregations]
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
@@ -149,10 +202,69 @@ class Evaluator(StatefulProcessor):
         self.panes = handle.getMapState("panes", "pane long", "part string")
         self.fired = handle.getMapState("fired", "start long", "at long")
         self.last_early = handle.getValueState("last_early", "at long")
+        if self.rules is not None:
+            self.held = handle.getValueState("rule", "text string")
         self.math = Panes(self.rule)
 
+    def look(self) -> Rule:
+        """The rule as it is now. The file is read from the shared folder at most once a second."""
+        clock = time.monotonic()
+        if self.read_at is None or clock - self.read_at >= 1:
+            self.read_at = clock
+            now = self.rules(self.first.rule_id)
+            if now is not None and now.active and now != self.present:
+                self.check(now)
+            self.present = now or self.present
+        return self.present
+
+    def check(self, now: Rule) -> None:
+        """Raises if the plan that feeds this operator doesn't fit the rule."""
+
+        def fed(r: Rule) -> tuple:
+            w = r.windowing
+            return r.topic, r.filters, r.keys, r.entity_field, w.stateless, w.event_time, w.use_kafka_timestamp, w.timestamp_field, w.timestamp_format
+
+        if fed(now) != fed(self.first) or any(source(a)[0] != "none" and source(a) not in self.columns for a in now.aggregations):
+            raise ValueError(f"rule {now.rule_id}: its topic, filters, keys, entity, kind of time or fields changed; start the stream again, on its checkpoint, with the present rule")
+
+    def use(self, text: str) -> None:
+        if text not in self.known:
+            self.known[text] = Panes(restored(self.first, text))
+        self.math = self.known[text]
+        self.rule = self.math.rule
+
+    def take(self, now: int) -> None:
+        """Makes the present rule the group's snapshot."""
+        text, held = snapshot(self.present), self.held.get()[0] if self.held.exists() else None
+        if held != text:
+            self.held.update((text,))
+        before = restored(self.first, held) if held is not None else None
+        self.use(text)
+        if before is None or held == text:
+            return
+        w, stays = self.rule.windowing, {(a.alias, source(a)) for a in self.rule.aggregations}
+        anew = {a.alias for a in before.aggregations if (a.alias, source(a)) not in stays}
+        moves = (before.windowing.slide, before.windowing.offset) != (w.slide, w.offset)
+        if not moves and not anew:
+            return
+        places: dict[int, list[dict]] = {}
+        for at in sorted(k[0] for k in self.panes.keys()):
+            pane = {k: v for k, v in json.loads(self.panes.getValue((at,))[0]).items() if k not in anew}
+            places.setdefault(self.math.floor(at), []).append(pane)
+        self.panes.clear()
+        for at, panes in places.items():
+            self.panes.updateValue((at,), (json.dumps(self.math.joined(panes)),))
+            if moves:
+                self.handle.registerTimer(at + w.slide if w.event_time else self.math.floor(now) + w.slide)
+        fired = {self.math.floor(k[0]): self.fired.getValue(k) for k in list(self.fired.keys())}
+        self.fired.clear()
+        for at, when in fired.items():
+            self.fired.updateValue((at,), when)
+
     def active(self) -> bool:
         """Whether the rule may emit now. The status file is read from the shared folder at most once a second."""
+        if self.rules is not None:
+            return self.look().active
         if self.status is None:
             return self.rule.active
         clock = time.monotonic()
@@ -189,8 +301,14 @@ class Evaluator(StatefulProcessor):
         return timers.getCurrentWatermarkInMs() if self.rule.windowing.event_time else timers.getCurrentProcessingTimeInMs()
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        w, group, now, out = self.rule.windowing, key[0], self.now(timerValues), []
-        names = [f"v{k}" for k in range(self.n)]
+        group, now, out = key[0], self.now(timerValues), []
+        if self.rules is not None:
+            if not self.look().active:
+                return
+            self.take(now)
+        w = self.rule.windowing
+        places = {s: k for k, s in enumerate(self.columns)}
+        names = [f"v{places.get(source(a))}" for a in self.rule.aggregations]
         self.open, timers, touched = {}, set(), set()
         parts = list(rows)  # one group's events of one batch, in the order of ingestion whatever the Arrow chunks
         for part in [pd.concat(parts)] if parts else []:
@@ -231,19 +349,26 @@ class Evaluator(StatefulProcessor):
             yield pd.DataFrame(out)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        w, group, end = self.rule.windowing, key[0], expiredTimerInfo.getExpiryTimeInMs()
+        group, end = key[0], expiredTimerInfo.getExpiryTimeInMs()
+        if self.rules is not None and self.held.exists():
+            self.use(self.held.get()[0])
+        w = self.rule.windowing
         self.open = {}
         if self.idle(end if w.event_time else self.now(timerValues)):
             self.panes.clear()
             self.fired.clear()
             self.touched.clear()
+            if self.rules is not None:
+                self.held.clear()
+            return
+        if self.rules is not None and end != self.math.floor(end):  # of the grid before the rule changed
             return
         if not self.active():
             self.handle.registerTimer(end + w.slide)  # looked at again later, until the state is too old
             return
         start, panes = self.window(end)
         out = []
-        if sum(p["n"] for p in panes):
+        if sum(p[ROWS] for p in panes):
             values = self.math.merged(panes)
             breached = having.evaluate(self.rule.having, values)
             if self.rule.sinks.agg:
@@ -284,18 +409,49 @@ def status_file(path: str) -> Callable[[str], str | None]:
     return read
 
 
-def evaluate_stream(events: DataFrame, rule: Rule, status: Callable[[str], str | None] | None = None, early_interval_ms: int | None = EARLY_INTERVAL_MS, watermark: str = WATERMARK, ttl_ms: int = STATE_TTL_MS) -> DataFrame:
+def rules_file(path: str) -> Callable[[str], Rule | None]:
+    """Rules by id from a JSON array of rules in a shared folder, as for ``status_file``: one that the file lacks is deleted, a file or rule that can't be read tells nothing."""
+
+    def read(rule_id: str) -> Rule | None:
+        from pyarrow import fs
+
+        try:
+            store, at = fs.FileSystem.from_uri(path) if "://" in path else (fs.LocalFileSystem(), path)
+            with store.open_input_stream(at) as f:
+                docs = [d for d in json.loads(f.read()) if str((d.get("rule_metadata") or {}).get("rule_id")) == rule_id]
+            return of(docs[-1]) if docs else Rule(rule_id, status="DELETED")
+        except (OSError, ValueError, TypeError, AttributeError, Rejected):
+            return None
+
+    return read
+
+
+def evaluate_stream(
+    events: DataFrame,
+    rule: Rule,
+    status: Callable[[str], str | None] | None = None,
+    early_interval_ms: int | None = EARLY_INTERVAL_MS,
+    watermark: str = WATERMARK,
+    ttl_ms: int = STATE_TTL_MS,
+    rules: Callable[[str], Rule | None] | None = None,
+    fields: tuple[str, ...] = (),
+) -> DataFrame:
     """Results and anomalies of one windowed rule over a stream in the canonical frame, as rows of OUTPUT told apart by ``kind``.
 
     Filters and fields are Columns; only the group key, the entity, the time and the aggregates' values reach the state operator (under names
     without a leading underscore, which it would replace by numbers). The watermark follows ingestion, as late event times are the rule's own matter.
+
+    With ``rules``, windows, thresholds, sinks and aggregates may change while the stream runs; aggregates read the fields of ``rule`` in the ways it does, and
+    ``fields`` in any way. Other changes need another plan, so the stream fails and says so; its checkpoint serves the next start.
     """
-    key, aggs = group_key(rule.keys), compile_all(rule.aggregations)
+    later = [Aggregation(f"{f}{k}", function, f, high) for k, f in enumerate(fields) for function, high in (("SUM", False), ("COUNT_DISTINCT", False), ("COUNT_DISTINCT", True))]
+    specs = (*rule.aggregations, *later)
+    key, aggs = group_key(rule.keys), compile_all(specs)
     values = [(a.value if a.value is not None else F.lit(None).cast("double")).alias(f"v{k}") for k, a in enumerate(aggs)]
     rows = matching(events, rule).select(key.alias("group_key"), entity(rule.entity_field, key).alias("entity"), event_time(rule.windowing).alias("ts_ms"), "ingest_ms", "offset", F.timestamp_millis("ingest_ms").alias("ingest_ts"), *values)
     rows = rows.withWatermark("ingest_ts", watermark)
     mode = "eventTime" if rule.windowing.event_time else "processingTime"
-    return rows.groupBy("group_key").transformWithStateInPandas(statefulProcessor=Evaluator(rule, len(aggs), status, early_interval_ms, ttl_ms), outputStructType=OUTPUT, outputMode="Append", timeMode=mode)
+    return rows.groupBy("group_key").transformWithStateInPandas(statefulProcessor=Evaluator(rule, len(aggs), status, early_interval_ms, ttl_ms, rules, [source(a) for a in specs]), outputStructType=OUTPUT, outputMode="Append", timeMode=mode)
 
 
 def kinds(batch: DataFrame) -> tuple[DataFrame, DataFrame]:

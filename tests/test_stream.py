@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from sluice.catalog import DAY, VALUE, frame, rule
 from sluice.plans import batch
 from sluice.streaming import queries
-from sluice.streaming.stateful import OUTPUT, Evaluator, Panes, evaluate_stream, status_file, use_rocksdb
+from sluice.streaming.stateful import OUTPUT, Evaluator, Panes, evaluate_stream, rules_file, status_file, use_rocksdb
 
 FRAME = "raw string, data string, source_topic string, partition int, offset long, ingest_ms long, event_ms long"
 
@@ -232,3 +232,118 @@ def test_a_sketched_threshold_in_a_stream(spark, tmp_path):
     q.awaitTermination(120)
     fired = [json.loads(x.aggregates)["d"] for x in spark.read.schema(OUTPUT).parquet(str(tmp_path / "out")).collect() if x.kind == "anomaly"]
     assert len(fired) == 1 and fired[0] == pytest.approx(250, rel=0.05)
+
+
+def counts(rows, off):
+    return sorted((x["window_start_ms"] - off, x["window_end_ms"] - off, json.loads(x["aggregates"]), x["breached"]) for x in rows if x["kind"] == "result")
+
+
+def test_a_group_takes_a_changed_rule_with_its_next_event():
+    now = {"rule": rule(size=1000)}
+    held = Held()
+    e = Evaluator(now["rule"], 1, None, None, rules=lambda _: now["rule"], columns=[("none", None), ("number", "x")])
+    e.init(held)
+    off = now["rule"].windowing.offset
+    assert drive(e, held, [(off + 10, 1), (off + 20, 1)], off + 500) == []
+    now["rule"], e.read_at = rule(size=1000, having="cnt >= 2"), None
+    # No event since: the window closes as it was.
+    assert counts(drive(e, held, [], off + 1_500), off) == [(0, 1000, {"cnt": 2.0}, False)]
+    got = drive(e, held, [(off + 1_600, 1), (off + 1_700, 1)], off + 2_500)
+    assert counts(got, off) == [(1000, 2000, {"cnt": 2.0}, True)]
+
+
+def test_a_changed_grid_keeps_the_panes():
+    now = {"rule": rule(size=1000)}
+    held = Held()
+    e = Evaluator(now["rule"], 1, None, None, rules=lambda _: now["rule"])
+    e.init(held)
+    off = rule(size=4000).windowing.offset
+    assert off % 1000 == now["rule"].windowing.offset
+    assert drive(e, held, [(off + 10, 1), (off + 1_010, 1), (off + 2_010, 1)], off + 500) == []
+    now["rule"], e.read_at = rule(size=4000), None
+    got = drive(e, held, [(off + 3_999, 1), (off + 4_000, 1)], off + 9_000)
+    assert counts(got, off) == [(0, 4000, {"cnt": 4.0}, False), (4000, 8000, {"cnt": 1.0}, False)]
+    assert drive(e, held, [], off + 20_000) == []
+    # Back to a finer grid: what is kept goes to the pane in which it began.
+    assert drive(e, held, [(off + 23_000, 1)], off + 20_000) == []
+    now["rule"], e.read_at = rule(size=1000), None
+    got = drive(e, held, [(off + 23_100, 1)], off + 30_000)
+    assert counts(got, off) == [(20_000, 21_000, {"cnt": 1.0}, False), (23_000, 24_000, {"cnt": 1.0}, False)]
+
+
+def test_an_alias_with_another_source_begins_anew():
+    low, high = rule(aggs=(("d", "COUNT_DISTINCT", "u"),), size=1000), rule(aggs=(("d", "COUNT_DISTINCT", "u", "HIGH"), ("cnt", "COUNT", None)), size=1000)
+    now, held = {"rule": low}, Held()
+    e = Evaluator(low, 1, None, None, rules=lambda _: now["rule"], columns=[("text", "u"), ("sketch", "u")])
+    e.init(held)
+    off = low.windowing.offset
+
+    def feed(values):
+        rows = pd.DataFrame([(off + 10, k, k, "e", v, "v" + v) for k, v in enumerate(values)], columns=["ts_ms", "offset", "ingest_ms", "entity", "v0", "v1"])
+        list(e.handleInputRows(("g",), iter([rows]), held))
+
+    feed(["a", "b", "c"])
+    now["rule"], e.read_at = high, None
+    feed(["d", "e"])
+    assert counts(drive(e, held, [], off + 1_500), off) == [(0, 1000, {"d": 2.0, "cnt": 5.0}, False)]
+
+
+def test_joined_panes_are_those_of_all_events():
+    r = rule(aggs=(("n", "COUNT", None), ("s", "SUM", "x"), ("lo", "MIN", "x"), ("d", "COUNT_DISTINCT", "u"), ("h", "COUNT_DISTINCT", "u", "HIGH")))
+    math, panes, whole = Panes(r), [{}, {}, {}], {}
+    for k in range(300):
+        values = [None, float(k), float(k), str(k % 70), str(k % 70)]
+        math.add(panes[k // 100], values)
+        math.add(whole, values)
+    assert math.merged([math.joined(panes)]) == math.merged([whole]) == math.merged(panes)
+
+
+def test_aliases_are_free():
+    """An alias may have the name of anything that a pane holds."""
+    math, pane = Panes(rule(aggs=(("n", "SUM", "x"), ("rows", "MAX", "x")))), {}
+    for v in (2.0, 3.0):
+        math.add(pane, [v, v])
+    assert math.merged([json.loads(json.dumps(pane))]) == {"n": 5.0, "rows": 3.0}
+
+
+def test_a_change_that_needs_another_plan_raises():
+    now, held = {"rule": rule(size=1000)}, Held()
+    e = Evaluator(now["rule"], 1, None, None, rules=lambda _: now["rule"])
+    e.init(held)
+    off = now["rule"].windowing.offset
+    for other in (rule(size=1000, keys=("_data.other",)), rule(size=1000, aggs=(("s", "SUM", "_data.x"),)), rule(size=1000, topic="elsewhere")):
+        now["rule"], e.read_at = other, None
+        with pytest.raises(ValueError, match="start the stream again"):
+            drive(e, held, [(off + 10, 1)], off + 20)
+    now["rule"], e.read_at = rule(size=1000, status="PAUSED"), None
+    assert drive(e, held, [(off + 10, 1)], off + 20) == [] and not held.maps["panes"]
+
+
+def test_rules_change_in_a_running_stream(spark, tmp_path):
+    """The same checkpoint, first with one version in the file and then with another: b has no event since, so its window closes as it was."""
+    use_rocksdb(spark)
+    first, base = rule(keys=("_data.u",), size=1000), 864_000_000
+    base -= (base - first.windowing.offset) % 1000
+
+    def publish(having, aggs):
+        doc = {"rule_metadata": {"rule_id": "r", "status": "ACTIVE"}, "execution_routing": {"target_source_topic": ""}, "grouping": {"keys": ["_data.u"], "entity_name": "user"}}
+        doc |= {"windowing": {"type": "TUMBLING", "time_type": "EVENT_TIME", "size_ms": 1000, "slide_ms": 0}, "aggregations": aggs, "having_thresholds": {"expression": having}}
+        (tmp_path / "rules.json").write_text(json.dumps([doc]))
+
+    def run(name, rows):
+        out = pd.DataFrame([("{}", json.dumps({"u": u, "x": 5}), "t", 0, at, base + at, base + at) for u, at in rows], columns=["raw", "data", "source_topic", "partition", "offset", "ingest_ms", "event_ms"])
+        out["partition"] = out["partition"].astype("int32")
+        os.makedirs(tmp_path / "in", exist_ok=True)
+        out.to_parquet(tmp_path / "in" / name)
+        stream = evaluate_stream(spark.readStream.schema(FRAME).parquet(str(tmp_path / "in")), first, early_interval_ms=None, watermark="0 seconds", rules=rules_file(str(tmp_path / "rules.json")), fields=("_data.x",))
+        stream.writeStream.format("parquet").option("path", str(tmp_path / "out")).option("checkpointLocation", str(tmp_path / "ck")).trigger(availableNow=True).start().awaitTermination()
+
+    count, total = {"alias": "cnt", "function": "COUNT"}, {"alias": "total", "function": "SUM", "field": "_data.x"}
+    publish(None, [count])
+    run("0.parquet", [("a", 10), ("b", 20)])
+    publish("total >= 5", [count, total])
+    run("1.parquet", [("a", 30)])
+    run("2.parquet", [("c", 5000)])
+    rows = spark.read.schema(OUTPUT).parquet(str(tmp_path / "out")).where("kind = 'result' and is_final").collect()
+    got = {x.group_key: (json.loads(x.aggregates), x.breached) for x in rows if x.window_start_ms == base}
+    assert got == {"a": ({"cnt": 2.0, "total": 5.0}, True), "b": ({"cnt": 1.0}, False)}
