@@ -57,7 +57,7 @@ def rule(rule_id: str = "r", keys=("_data.user_id",), size: int = DAY, slide: in
         "filters": filters,
         "grouping": {"keys": list(keys), "entity_name": "user", "anomaly_entity_field": more.pop("entity_field", None)},
         "windowing": windowing,
-        "aggregations": [{"alias": a, "function": f, "field": v} | ({"cardinality_hint": h[0]} if h else {}) for a, f, v, *h in aggs],
+        "aggregations": [{"alias": a, "function": f, "field": v} | dict(zip(("cardinality_hint", "capped"), h, strict=False)) for a, f, v, *h in aggs],
         "having_thresholds": {"expression": having},
     }
     return of(doc)
@@ -245,7 +245,7 @@ for _name, (_text, _sql) in STATELESS.items():
 
 @query("agg_hll", windowed_sql("TRUE AS close", size=30 * DAY, slide=30 * DAY, key="kind").replace("FALSE AS breached", "TRUE AS ok"))
 def _(spark, sf_dir):
-    spec = (("approx", "COUNT_DISTINCT", "_data.user_id", "HIGH"), ("exact", "COUNT_DISTINCT", "_data.user_id"))
+    spec = (("approx", "COUNT_DISTINCT", "_data.user_id", "HIGH"), ("exact", "COUNT_DISTINCT", "_data.user_id", "LOW", False))
     out = batch.results(frame(spark, sf_dir), rule(keys=("event_type",), size=30 * DAY, aggs=spec))
     close = F.abs(F.col("approx") - F.col("exact")) <= 0.05 * F.col("exact")
     return out.select("rule_id", "group_key", "window_start_ms", "window_end_ms", close.alias("close"), F.lit(True).alias("ok"))
@@ -253,7 +253,7 @@ def _(spark, sf_dir):
 
 @query("agg_hll_sliding", windowed_sql("TRUE AS close", size=DAY, slide=6 * HOUR, key="kind").replace("FALSE AS breached", "TRUE AS ok"))
 def _(spark, sf_dir):
-    spec = (("approx", "COUNT_DISTINCT", "_data.user_id", "HIGH"), ("exact", "COUNT_DISTINCT", "_data.user_id"))
+    spec = (("approx", "COUNT_DISTINCT", "_data.user_id", "HIGH"), ("exact", "COUNT_DISTINCT", "_data.user_id", "LOW", False))
     out = batch.results(frame(spark, sf_dir), rule(keys=("event_type",), kind="SLIDING", slide=6 * HOUR, aggs=spec))
     close = F.abs(F.col("approx") - F.col("exact")) <= 0.05 * F.col("exact")
     return out.select("rule_id", "group_key", "window_start_ms", "window_end_ms", close.alias("close"), F.lit(True).alias("ok"))

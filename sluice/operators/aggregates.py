@@ -1,6 +1,7 @@
 """Aggregates as partial, merge and final Columns, so that panes are shared by overlapping windows.
 
 An exact distinct count keeps DISTINCT_CAP values of a pane at most, whatever the window: a window counts that many times its panes at most.
+One whose specification is not capped counts them all.
 """
 
 from __future__ import annotations
@@ -42,6 +43,10 @@ class Compiled:
             return F.concat(F.lit("v"), text) if self.spec.high_cardinality else F.when(text != "", text)
         return None
 
+    def limited(self, count: Column, most: Column | None = None) -> Column:
+        """An exact distinct count, up to the most that its panes keep, one pane by default."""
+        return F.least(count, F.lit(DISTINCT_CAP) if most is None else most) if self.spec.capped else count
+
     def partials(self) -> list[Column]:
         f, v = self.spec.function, F.col(self.v)
         if f == "COUNT":
@@ -76,7 +81,7 @@ class Compiled:
         f, v = self.spec.function, F.col(self.v)
         by = {"COUNT": lambda: F.count(F.lit(1)), "SUM": lambda: F.sum(v), "AVG": lambda: F.avg(v), "MIN": lambda: F.min(v), "MAX": lambda: F.max(v)}
         if f == "COUNT_DISTINCT":
-            out = F.least(F.count_distinct(v), F.lit(DISTINCT_CAP)) if self.exact else F.hll_sketch_estimate(F.hll_sketch_agg(v, HLL_BITS))
+            out = self.limited(F.count_distinct(v)) if self.exact else F.hll_sketch_estimate(F.hll_sketch_agg(v, HLL_BITS))
         else:
             out = by.get(f, lambda: F.lit(0.0))()
         return F.coalesce(out.cast("double"), F.lit(0.0)).alias(self.spec.alias)
@@ -91,7 +96,7 @@ class Compiled:
         f, v = self.spec.function, F.col(self.v)
         by = {"COUNT": lambda: F.count(F.lit(1)).over(over), "SUM": lambda: F.sum(v).over(over), "AVG": lambda: F.avg(v).over(over), "MIN": lambda: F.min(v).over(over), "MAX": lambda: F.max(v).over(over), "COUNT_DISTINCT": lambda: F.sum(f"{self.v}_fresh").over(over)}
         out = by.get(f, lambda: F.lit(0.0))()
-        return F.coalesce((F.least(out, F.lit(DISTINCT_CAP)) if self.exact else out).cast("double"), F.lit(0.0)).alias(self.spec.alias)
+        return F.coalesce((self.limited(out) if self.exact else out).cast("double"), F.lit(0.0)).alias(self.spec.alias)
 
 
 def compile_all(specs: tuple[Aggregation, ...]) -> list[Compiled]:

@@ -56,6 +56,6 @@ def aggregate(routed: DataFrame, aggs: list[Compiled], keys: list[str], size: Co
     panes = rows.groupBy(*keys, "pane", "_tag", "_value").agg(F.count(F.lit(1)).alias("_n"), *[p for a in merging for p in a.partials()])
     windows = to_windows(panes, size, slide).groupBy(*at, "_tag", "_value").agg(F.sum("_n").alias("_raw"), F.count(F.lit(1)).alias("_panes"), *[a.merged() for a in merging])
     most = F.max(F.when(F.col("_tag") == 0, F.col("_panes"))) * DISTINCT_CAP
-    counts = [F.least(F.count(F.when(F.col("_tag") == k, 1)), most).cast("double").alias(a.spec.alias) for k, a in enumerate(exact, 1)]
+    counts = [a.limited(F.count(F.when(F.col("_tag") == k, 1)), most).cast("double").alias(a.spec.alias) for k, a in enumerate(exact, 1)]
     rest = [F.max(F.when(F.col("_tag") == 0, F.col(f"`{a.spec.alias}`"))).alias(a.spec.alias) for a in merging]
     return windows.groupBy(*at).agg(F.max(F.when(F.col("_tag") == 0, F.col("_raw"))).alias("_raw"), *counts, *rest)

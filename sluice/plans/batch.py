@@ -125,11 +125,11 @@ def evaluate(events: DataFrame, rules: list[Rule], sets=None) -> DataFrame:
     slots: dict[tuple, Compiled] = {}
     for r in live:
         for k, spec in enumerate(r.aggregations):
-            at = (k, spec.function, spec.high_cardinality)
+            at = (k, spec.function, spec.high_cardinality, spec.capped)
             slots.setdefault(at, Compiled(replace(spec, alias=f"_slot{len(slots)}"), f"_v{len(slots)}"))
 
     def of(r: Rule) -> dict[str, tuple[Compiled, Compiled]]:
-        return {s.alias: (Compiled(s, ""), slots[k, s.function, s.high_cardinality]) for k, s in enumerate(r.aggregations)}
+        return {s.alias: (Compiled(s, ""), slots[k, s.function, s.high_cardinality, s.capped]) for k, s in enumerate(r.aggregations)}
 
     def hit(n: int, r: Rule) -> Column:
         own = {slot.v: c.value for c, slot in of(r).values() if c.value is not None}

@@ -55,6 +55,8 @@ class Aggregation:
     function: str
     field: str | None = None
     high_cardinality: bool = False
+    #: Whether an exact distinct count stops at so many values of a pane.
+    capped: bool = True
 
 
 @dataclass(frozen=True)
@@ -123,7 +125,7 @@ def of(doc: dict[str, Any]) -> Rule:
     if win is not None:
         known = {k: v for k, v in win.items() if k in Windowing.__dataclass_fields__ and v is not None}
         windowing = Windowing(**known)
-    aggs = tuple(Aggregation(a["alias"], str(a.get("function") or "").upper(), a.get("field"), str(a.get("cardinality_hint") or "LOW").upper() == "HIGH") for a in doc.get("aggregations") or ())
+    aggs = tuple(Aggregation(a["alias"], str(a.get("function") or "").upper(), a.get("field"), str(a.get("cardinality_hint") or "LOW").upper() == "HIGH", a.get("capped") is not False) for a in doc.get("aggregations") or ())
     rule = Rule(
         rule_id=str(meta["rule_id"]),
         status=status,

@@ -131,7 +131,7 @@ class Panes:
                 pane[spec.alias] = offer(pane.get(spec.alias, NO_RANKS), v)
             elif f == "COUNT_DISTINCT":
                 held = pane.setdefault(spec.alias, {})  # a dict keeps the order of arrival, is looked up in one step, and goes into JSON as its keys
-                if len(held) < DISTINCT_CAP:
+                if len(held) < DISTINCT_CAP or not spec.capped:
                     held[v] = 1
 
     def joined(self, panes: list[dict]) -> dict:
@@ -144,7 +144,7 @@ class Panes:
             if kind == "sketch":
                 out[spec.alias] = "".join(map(max, *parts)) if len(parts) > 1 else parts[0]
             elif kind == "text":
-                out[spec.alias] = dict.fromkeys(list(dict.fromkeys(v for p in parts for v in p))[:DISTINCT_CAP], 1)
+                out[spec.alias] = dict.fromkeys(list(dict.fromkeys(v for p in parts for v in p))[: DISTINCT_CAP if spec.capped else None], 1)
             else:
                 s, c, lo, hi = zip(*parts, strict=True)
                 out[spec.alias] = (sum(s), sum(c), min(lo), max(hi))

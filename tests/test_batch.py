@@ -8,7 +8,7 @@ from dataclasses import replace
 import pytest
 from pyspark.sql import functions as F
 
-from sluice.catalog import rule
+from sluice.catalog import SPECS, rule
 from sluice.operators.dedup import dedup_ttl
 from sluice.plans import batch
 from sluice.plans.rules import Sinks
@@ -106,6 +106,21 @@ def test_distinct_counts_have_one_cap(events, monkeypatch):
     assert batch.early_fires(events[0], rule(keys=("_data.u",), size=1000, aggs=spec, having="d > 2")).count() == 0
 
 
+def test_sketched_counts_are_held_against_all_distinct_values(spark, events, monkeypatch):
+    """However many values a capped count would keep: alone, in sliding windows, in early fires, and beside a capped one of the same field."""
+    monkeypatch.setattr("sluice.operators.aggregates.DISTINCT_CAP", 2)
+    monkeypatch.setattr("sluice.operators.windows.DISTINCT_CAP", 2)
+    for name in ("agg_hll", "agg_hll_sliding"):
+        rows = SPECS[name][0](spark, "/root/testdata/sf0.001").collect()
+        assert rows and all(x.close for x in rows)
+    spec = (("d", "COUNT_DISTINCT", "_data.v", "LOW", False), ("c", "COUNT_DISTINCT", "_data.v"))
+    whole, capped = rule("w", keys=("_data.u",), size=1000, aggs=spec, having="d > 2"), rule("c", keys=("_data.u",), size=1000, aggs=spec[::-1])
+    slid = replace(whole, windowing=replace(whole.windowing, type="SLIDING", slide_ms=250))
+    assert max(x.d for x in batch.results(events[0], whole).collect()) == max(x.d for x in batch.results(events[0], slid).collect()) == 5
+    assert {(x.aggregates["d"] > 2, x.aggregates["c"] > 2) for x in batch.evaluate(events[0], [whole, capped]).collect() if x.aggregates["d"] > 2} == {(True, False)}
+    assert batch.early_fires(events[0], whole).count() > 0
+
+
 def test_early_distinct_counts_and_sinks(events):
     r = rule(keys=("_data.u",), size=1000, aggs=(("d", "COUNT_DISTINCT", "_data.n"), ("c", "COUNT", None)), having="d >= 2 && c >= 3")
     seen, count, want = defaultdict(set), defaultdict(int), {}
