@@ -327,6 +327,14 @@ def evaluate(text: str | None, values: dict[str, Any]) -> bool:
     return kind == "boolean" and bool(value)
 
 
+def names_in(text: str | None) -> frozenset[str]:
+    """All names in an expression."""
+    try:
+        return frozenset(t for kind, t in tokens(text or "") if kind == "name")
+    except BadExpression:
+        return frozenset()
+
+
 def over_aliases(aliases: list[str]) -> Callable[[str], tuple[str, Column] | None]:
     known = {a: F.col(f"`{a}`") for a in aliases}
     return lambda name: ("number", known[name]) if name in known else None

@@ -2,6 +2,10 @@
 
 An exact distinct count keeps DISTINCT_CAP values of a pane at most, whatever the window: a window counts that many times its panes at most.
 One whose specification is not capped counts them all.
+
+The last digit of a sum of doubles depends on the order, and a threshold that a sum meets exactly depends on that digit. So sums that a threshold
+names are ordered: their numbers are added up by offset, however the events are split among tasks. A partial is a list of terms, of events of one
+run of offsets; above TERMS of them, it is their sum alone, so a group of any size is merged from few terms.
 """
 
 from __future__ import annotations
@@ -18,6 +22,8 @@ from ..plans.rules import Aggregation
 #: Distinct values that an exact count keeps per pane.
 DISTINCT_CAP = 50_000
 HLL_BITS = 14
+#: Offsets with equal upper bits are a run. Numbers of a run and group that are kept apart at most.
+RUN_BITS, TERMS = 16, 256
 
 
 @dataclass(frozen=True)
@@ -26,6 +32,7 @@ class Compiled:
 
     spec: Aggregation
     v: str
+    ordered: bool = False
 
     @property
     def exact(self) -> bool:
@@ -47,31 +54,40 @@ class Compiled:
         """An exact distinct count, up to the most that its panes keep, one pane by default."""
         return F.least(count, F.lit(DISTINCT_CAP) if most is None else most) if self.spec.capped else count
 
-    def partials(self) -> list[Column]:
+    def terms(self) -> Column:
+        """The numbers of a run by offset, or their sum."""
+        v = F.col(self.v)
+        own = F.array_sort(F.collect_list(F.when(v.isNotNull(), F.struct("offset", v.alias("v")))))
+        return F.when(F.size(own) > TERMS, F.array(F.struct(own[0]["offset"].alias("offset"), added(own).alias("v")))).otherwise(own)
+
+    def partials(self) -> dict[str, Column]:
+        """By name: aggregates of one value column share those of one kind."""
         f, v = self.spec.function, F.col(self.v)
+        total = {f"{self.v}_terms": self.terms()} if self.ordered else {f"{self.v}_sum": F.sum(v)}
         if f == "COUNT":
-            return [F.count(F.lit(1)).alias(f"{self.v}_a")]
+            return {f"{self.v}_count": F.count(F.lit(1))}
         if f == "SUM":
-            return [F.sum(v).alias(f"{self.v}_a")]
+            return total
         if f == "AVG":
-            return [F.sum(v).alias(f"{self.v}_a"), F.count(v).alias(f"{self.v}_b")]
+            return total | {f"{self.v}_n": F.count(v)}
         if f in ("MIN", "MAX"):
-            return [(F.min if f == "MIN" else F.max)(v).alias(f"{self.v}_a")]
+            return {f"{self.v}_{f.lower()}": (F.min if f == "MIN" else F.max)(v)}
         if f == "COUNT_DISTINCT" and self.spec.high_cardinality:
-            return [F.hll_sketch_agg(v, HLL_BITS).alias(f"{self.v}_a")]
-        return []
+            return {f"{self.v}_sketch": F.hll_sketch_agg(v, HLL_BITS)}
+        return {}
 
     def merged(self) -> Column:
         """Over the panes of a window; a double, 0 where there were no values."""
-        f, a = self.spec.function, F.col(f"{self.v}_a") if self.partials() else None
+        f, parts = self.spec.function, [F.col(name) for name in self.partials()]
+        total = lambda: added(F.array_sort(F.flatten(F.collect_list(parts[0])))) if self.ordered else F.sum(parts[0])
         if f in ("COUNT", "SUM"):
-            out = F.sum(a)
+            out = total()
         elif f == "AVG":
-            out = F.try_divide(F.sum(a), F.sum(f"{self.v}_b"))
+            out = F.try_divide(total(), F.sum(parts[1]))
         elif f in ("MIN", "MAX"):
-            out = (F.min if f == "MIN" else F.max)(a)
+            out = (F.min if f == "MIN" else F.max)(parts[0])
         elif f == "COUNT_DISTINCT" and not self.exact:
-            out = F.hll_sketch_estimate(F.hll_union_agg(a))
+            out = F.hll_sketch_estimate(F.hll_union_agg(parts[0]))
         else:
             out = F.lit(0.0)
         return F.coalesce(out.cast("double"), F.lit(0.0)).alias(self.spec.alias)
@@ -99,5 +115,16 @@ class Compiled:
         return F.coalesce((self.limited(out) if self.exact else out).cast("double"), F.lit(0.0)).alias(self.spec.alias)
 
 
-def compile_all(specs: tuple[Aggregation, ...]) -> list[Compiled]:
-    return [Compiled(s, f"_v{k}") for k, s in enumerate(specs)]
+def added(terms: Column) -> Column:
+    return F.aggregate(terms, F.lit(0.0), lambda total, t: total + t["v"])
+
+
+def run_of_offsets() -> Column:
+    return F.struct("partition", F.shiftright("offset", RUN_BITS).alias("run")).alias("_run")
+
+
+def compile_all(specs: tuple[Aggregation, ...], named: frozenset[str] = frozenset()) -> list[Compiled]:
+    """``named``: the aliases in the threshold."""
+    first: dict[tuple, str] = {}
+    at = [first.setdefault(("number", s.field) if s.function in ("SUM", "AVG", "MIN", "MAX") else (k,), f"_v{k}") for k, s in enumerate(specs)]
+    return [Compiled(s, v, s.function in ("SUM", "AVG") and s.alias in named) for s, v in zip(specs, at, strict=True)]

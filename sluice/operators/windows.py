@@ -39,22 +39,30 @@ def aggregate(routed: DataFrame, aggs: list[Compiled], keys: list[str], size: Co
 
     ``size`` and ``slide`` are literals or among the keys, so that rules of any windows go together. A tumbling window is its pane: one
     aggregation. Others aggregate panes first and merge those, so an event is one row in one shuffle however many windows hold it. Exact distinct
-    counts merge distinct values: a pane is one row with the other partials, and one for each of its values.
+    counts merge distinct values: a pane is one row with the other partials, and one for each of its values. Ordered sums need ``offset`` and ``_run`` in
+    ``routed``; a pane is then a row for each run, in tumbling windows, too.
     """
-    if tumbling:
+    run = ["_run"] if any(a.ordered for a in aggs) else []
+    if tumbling and not run:
         out = routed.groupBy(*keys, "pane").agg(*[a.direct() for a in aggs], F.count(F.lit(1)).alias("_raw"))
         return out.withColumns({"window_start_ms": F.col("pane"), "window_end_ms": F.col("pane") + size}).drop("pane")
     at, merging, exact = [*keys, "window_start_ms", "window_end_ms"], [a for a in aggs if not a.exact], [a for a in aggs if a.exact]
+    partials = [c.alias(name) for name, c in {n: c for a in merging for n, c in a.partials().items()}.items()]
     if not exact:
-        panes = routed.groupBy(*keys, "pane").agg(F.count(F.lit(1)).alias("_n"), *[p for a in merging for p in a.partials()])
+        panes = routed.groupBy(*keys, "pane", *run).agg(F.count(F.lit(1)).alias("_n"), *partials)
         return to_windows(panes, size, slide).groupBy(*at).agg(F.sum("_n").alias("_raw"), *[a.merged() for a in merging])
     tagged = [F.struct(F.lit(0).alias("tag"), F.lit(None).cast("string").alias("value"))]
     tagged += [F.when(F.col(a.v).isNotNull(), F.struct(F.lit(k).alias("tag"), F.col(a.v).alias("value"))) for k, a in enumerate(exact, 1)]
     whole = F.col("_x.tag") == 0
-    values = [F.when(whole, F.col(a.v)).alias(a.v) for a in merging if a.v in routed.columns]
+    values = [F.when(whole, F.col(c)).alias(c) for c in dict.fromkeys([*[a.v for a in merging if a.v in routed.columns], *run])] + [F.col("offset")] * len(run)
     rows = routed.withColumn("_x", F.explode(F.filter(F.array(*tagged), lambda x: x.isNotNull()))).select(*keys, "pane", F.col("_x.tag").alias("_tag"), F.col("_x.value").alias("_value"), *values)
-    panes = rows.groupBy(*keys, "pane", "_tag", "_value").agg(F.count(F.lit(1)).alias("_n"), *[p for a in merging for p in a.partials()])
-    windows = to_windows(panes, size, slide).groupBy(*at, "_tag", "_value").agg(F.sum("_n").alias("_raw"), F.count(F.lit(1)).alias("_panes"), *[a.merged() for a in merging])
+    panes = rows.groupBy(*keys, "pane", "_tag", "_value", *run).agg(F.count(F.lit(1)).alias("_n"), *partials)
+    if tumbling:  # a value of a window is one row already
+        kept = [F.when(F.col("_tag") == 0, F.col(name)).alias(name) for name in ("_n", *dict.fromkeys(n for a in merging for n in a.partials()))]
+        windows = to_windows(panes.select(*keys, "pane", "_tag", *kept), size, slide)
+        counts = [a.limited(F.count(F.when(F.col("_tag") == k, 1))).cast("double").alias(a.spec.alias) for k, a in enumerate(exact, 1)]
+        return windows.groupBy(*at).agg(F.sum("_n").alias("_raw"), *counts, *[a.merged() for a in merging])
+    windows = to_windows(panes, size, slide).groupBy(*at, "_tag", "_value").agg(F.sum("_n").alias("_raw"), (F.size(F.collect_set("pane")) if run else F.count(F.lit(1))).alias("_panes"), *[a.merged() for a in merging])
     most = F.max(F.when(F.col("_tag") == 0, F.col("_panes"))) * DISTINCT_CAP
     counts = [a.limited(F.count(F.when(F.col("_tag") == k, 1)), most).cast("double").alias(a.spec.alias) for k, a in enumerate(exact, 1)]
     rest = [F.max(F.when(F.col("_tag") == 0, F.col(f"`{a.spec.alias}`"))).alias(a.spec.alias) for a in merging]

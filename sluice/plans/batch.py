@@ -9,9 +9,9 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.fields import entity, group_key
-from ..functions.having import compile_having, over_aliases, over_events
+from ..functions.having import compile_having, names_in, over_aliases, over_events
 from ..functions.times import ist_string
-from ..operators.aggregates import Compiled, compile_all
+from ..operators.aggregates import Compiled, compile_all, run_of_offsets
 from ..operators.filters import compile_filter, topic_matches
 from ..operators.routing import matching
 from ..operators.windows import aggregate, pane_of
@@ -21,14 +21,14 @@ from .rules import Rule
 def routed(events: DataFrame, rule: Rule, sets=None) -> DataFrame:
     """group_key, entity, pane, and the aggregates' values of the events that the rule takes: nothing else goes into a shuffle."""
     key, aggs = group_key(rule.keys), compile_all(rule.aggregations)
-    values = [a.value.alias(a.v) for a in aggs if a.value is not None]
-    return matching(events, rule, sets).select(key.alias("group_key"), entity(rule.entity_field, key).alias("entity"), pane_of(rule.windowing).alias("pane"), "event_ms", "ingest_ms", "offset", *values)
+    values = [c.alias(v) for v, c in {a.v: a.value for a in aggs if a.value is not None}.items()]
+    return matching(events, rule, sets).select(key.alias("group_key"), entity(rule.entity_field, key).alias("entity"), pane_of(rule.windowing).alias("pane"), "event_ms", "ingest_ms", "offset", run_of_offsets(), *values)
 
 
 def windows_of(events: DataFrame, rule: Rule, sets=None) -> DataFrame:
     """group_key, window_start_ms, window_end_ms, the aliases and breached of an active windowed rule; no rows of any other."""
-    aggs, w = compile_all(rule.aggregations), rule.windowing
-    rows = routed(events, rule, sets).drop("entity", "event_ms", "ingest_ms", "offset")
+    aggs, w = compile_all(rule.aggregations, names_in(rule.having)), rule.windowing
+    rows = routed(events, rule, sets).drop("entity", "event_ms", "ingest_ms")
     if not rule.active or w.stateless:
         rows = rows.where("false")
     out = aggregate(rows, aggs, ["group_key"], F.lit(w.size_ms), F.lit(w.slide), w.slide == w.size_ms)
@@ -122,21 +122,26 @@ def evaluate(events: DataFrame, rules: list[Rule], sets=None) -> DataFrame:
     live = [r for r in rules if r.active and not r.windowing.stateless and r.sinks.agg]
     if not live:
         raise ValueError("no active windowed rule")
-    slots: dict[tuple, Compiled] = {}
+    compiled, slots = {id(r): compile_all(r.aggregations, names_in(r.having)) for r in live}, {}
+
+    def slot_of(r: Rule, k: int) -> tuple:
+        c = compiled[id(r)][k]
+        return k, c.spec.function, c.spec.high_cardinality, c.spec.capped, c.ordered
+
     for r in live:
         for k, spec in enumerate(r.aggregations):
-            at = (k, spec.function, spec.high_cardinality, spec.capped)
-            slots.setdefault(at, Compiled(replace(spec, alias=f"_slot{len(slots)}"), f"_v{len(slots)}"))
+            slots.setdefault(slot_of(r, k), Compiled(replace(spec, alias=f"_slot{len(slots)}"), f"_v{len(slots)}", slot_of(r, k)[-1]))
+    ordered = any(c.ordered for c in slots.values())
 
     def of(r: Rule) -> dict[str, tuple[Compiled, Compiled]]:
-        return {s.alias: (Compiled(s, ""), slots[k, s.function, s.high_cardinality, s.capped]) for k, s in enumerate(r.aggregations)}
+        return {s.alias: (Compiled(s, ""), slots[slot_of(r, k)]) for k, s in enumerate(r.aggregations)}
 
     def hit(n: int, r: Rule) -> Column:
         own = {slot.v: c.value for c, slot in of(r).values() if c.value is not None}
         typed = {c.v: "string" if c.spec.function == "COUNT_DISTINCT" else "double" for c in slots.values() if c.value is not None}
         values = [own.get(v, F.lit(None)).cast(t).alias(v) for v, t in typed.items()]
         w = r.windowing
-        return F.struct(F.lit(n).alias("rule_no"), group_key(r.keys).alias("group_key"), F.lit(w.size_ms).cast("long").alias("size"), F.lit(w.slide).cast("long").alias("slide"), pane_of(w).alias("pane"), *values)
+        return F.struct(F.lit(n).alias("rule_no"), group_key(r.keys).alias("group_key"), F.lit(w.size_ms).cast("long").alias("size"), F.lit(w.slide).cast("long").alias("slide"), pane_of(w).alias("pane"), *([F.col("offset"), run_of_offsets()] if ordered else []), *values)
 
     hits = [F.when(topic_matches(r.topic) & compile_filter(r.filters, sets), hit(n, r)) for n, r in enumerate(live)]
     rows = events.select(F.explode(F.filter(F.array(*hits), lambda h: h.isNotNull())).alias("h")).select("h.*")

@@ -121,6 +121,44 @@ def test_sketched_counts_are_held_against_all_distinct_values(spark, events, mon
     assert batch.early_fires(events[0], whole).count() > 0
 
 
+@pytest.fixture(scope="module")
+def tenths(spark):
+    """0.1 + 0.2 + 0.3 is above 0.6 in doubles, 0.3 + 0.2 + 0.1 is not; each group has one order by offset, and rows come in the other."""
+    rows = [(json.dumps({"_data": {"u": f"{'up' if g % 2 else 'down'}{g}", "v": v, "n": n}}), "t", 0, 70_000 * k + g, 100) for g in range(40) for k, (v, n) in enumerate([(0.1, "p"), (0.2, "q"), (0.3, "p")][:: 1 if g % 2 else -1])]
+    df = decode(spark.createDataFrame(rows, "value string, topic string, partition int, offset long, timestamp long"))
+    return df.repartitionByRange(1, F.col("offset").desc()).sortWithinPartitions(F.col("offset").desc()).cache()
+
+
+@pytest.mark.parametrize("distinct", [(), (("d", "COUNT_DISTINCT", "_data.n"),)])
+@pytest.mark.parametrize("having", ["total > 0.6 && c == 3", "mean > 0.2"])
+def test_thresholds_see_sums_by_offset(tenths, having, distinct):
+    """In windows of any kind, with any other aggregates, alone or among other rules."""
+    v = "_data.v"
+    aggs = (("c", "COUNT", None), ("total", "SUM", v), ("mean", "AVG", v), ("low", "MIN", v), ("high", "MAX", v), *distinct)
+    r = rule("r", keys=("_data.u",), size=1000, aggs=aggs, having=having)
+    slid = replace(r, rule_id="s", windowing=replace(r.windowing, type="SLIDING", slide_ms=250))
+    for out in (batch.results(tenths, r), batch.results(tenths, slid), batch.results(tenths.repartition(3), r), batch.evaluate(tenths, [r, slid]), batch.evaluate(tenths, [r, rule("x", keys=("_data.u",), size=500, aggs=aggs[::-1])]).where("rule_id = 'r'")):
+        rows = out.collect()
+        assert len(rows) in (40, 160, 200) and {(x.group_key[:2], x.breached) for x in rows} == {("up", True), ("do", False)}
+
+
+def test_long_runs_are_added_up_alike_however_rows_are_dealt(spark, monkeypatch):
+    monkeypatch.setattr("sluice.operators.aggregates.TERMS", 5)
+    monkeypatch.setattr("sluice.operators.aggregates.RUN_BITS", 4)
+    rng = random.Random(5)
+    values = [round(rng.expovariate(0.02), 2) for _ in range(1000)]
+    rows = [(json.dumps({"_data": {"u": "hot" if k % 8 else f"cold{k % 5}", "v": v}}), "t", 0, k, 100) for k, v in enumerate(values)]
+    df = decode(spark.createDataFrame(rows, "value string, topic string, partition int, offset long, timestamp long"))
+    r = rule(keys=("_data.u",), size=1000, aggs=(("c", "COUNT", None), ("total", "SUM", "_data.v"), ("mean", "AVG", "_data.v")), having="total > 1 || mean > 1")
+    got = [{x.group_key: (x.c, x.total, x.mean) for x in batch.results(d, r).collect()} for d in (df, df.repartition(7), df.orderBy(F.col("offset").desc()))]
+    assert got[0] == got[1] == got[2] and got[0]["hot"][:2] == pytest.approx((875, sum(v for k, v in enumerate(values) if k % 8)))
+    for u in range(5):
+        total = 0.0
+        for k in range(0, 1000, 8):
+            total += values[k] if k % 5 == u else 0.0
+        assert got[0][f"cold{u}"] == (25, total, total / 25)
+
+
 def test_early_distinct_counts_and_sinks(events):
     r = rule(keys=("_data.u",), size=1000, aggs=(("d", "COUNT_DISTINCT", "_data.n"), ("c", "COUNT", None)), having="d >= 2 && c >= 3")
     seen, count, want = defaultdict(set), defaultdict(int), {}
