@@ -130,7 +130,7 @@ def tenths(spark):
 
 
 @pytest.mark.parametrize("distinct", [(), (("d", "COUNT_DISTINCT", "_data.n"),)])
-@pytest.mark.parametrize("having", ["total > 0.6 && c == 3", "mean > 0.2"])
+@pytest.mark.parametrize("having", ["total > 0.6 && c == 3", "total / c * 2 - low > high", "mean > 0.2"])
 def test_thresholds_see_sums_by_offset(tenths, having, distinct):
     """In windows of any kind, with any other aggregates, alone or among other rules."""
     v = "_data.v"
