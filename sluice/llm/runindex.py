@@ -33,6 +33,8 @@ BUCKET_BYTES, SHARDS = 64 << 20, 4
 CROWDED = 100_000
 #: Marks that a task gathers before it passes them on.
 UNIT_MARKS = 200_000
+#: Rows whose anchors are looked up together.
+PART_ROWS = 500
 NO_ID = -(1 << 63)
 
 
@@ -106,6 +108,8 @@ def passages(data: np.ndarray, offsets: np.ndarray, span: int, gram: int) -> Ite
 
 #: Bits of an anchor that tell whether it is shared; that two unlike ones agree in them only makes more passages to look at.
 ANCHOR_BITS = 48
+#: Bits beside them, for an anchor's row among those of a unit.
+ROW_BITS = 64 - ANCHOR_BITS
 
 
 def squeeze(column: np.ndarray) -> bytes:
@@ -125,31 +129,37 @@ def anchor_batches(span: int, gram: int, buckets: int):
 
     kind 0: for each anchor of a unit of texts, one of its rows, and whether it is the only one. kind 1: anchors that two rows of
     the unit share, with every such row: known to be shared, and only passed through. So an anchor of many documents is one entry a unit.
+    A unit is held as one number an anchor.
     """
-
-    def flush(h: np.ndarray, d: np.ndarray, turn: int) -> pa.RecordBatch:
-        order = np.argsort(h)
-        h, d = h[order], d[order]
-        n = np.diff(run_starts(h))
-        many = np.repeat(n > 1, n)
-        own = np.lexsort((d[many], h[many]))
-        d[many] = d[many][own]
-        fresh = np.concatenate(([True], (h[1:] != h[:-1]) | (d[1:] != d[:-1])))
-        h, d = h[fresh], d[fresh]
-        cuts = run_starts(h)
-        n = np.diff(cuts)
-        shared = np.repeat(n > 1, n)
-        first = cuts[:-1]
-        lowest = np.array([-(-(k << ANCHOR_BITS) // buckets) for k in range(buckets + 1)], np.uint64)  # a bucket is a range of anchors
-        edges = np.searchsorted(h[first], lowest)
-        rows = []
-        for k in np.flatnonzero(edges[1:] > edges[:-1]).tolist():
-            own = first[edges[k] : edges[k + 1]]
-            names, index = np.unique(d[own], return_inverse=True)
-            rows.append((k, 0, squeeze(h[own]), squeeze(names), squeeze(index.astype(np.uint32)), squeeze((n[edges[k] : edges[k + 1]] == 1).view(np.uint8))))
-        sh, sd = h[shared], d[shared]
-        turn += int(d[:1].view(np.uint64).sum() % np.uint64(buckets))  # tasks start at different buckets
-        rows += [((turn + k) % buckets, 1, squeeze(sh[lo : lo + 50_000]), squeeze(sd[lo : lo + 50_000]), b"", b"") for k, lo in enumerate(range(0, len(sh), 50_000))]
+    bits, low = np.uint64(ROW_BITS), np.uint64((1 << ROW_BITS) - 1)
+    lowest = np.array([-(-(k << ANCHOR_BITS) // buckets) << ROW_BITS for k in range(buckets)], np.uint64)  # a bucket is a range of anchors
+
+    def flush(keys: np.ndarray, owners: list[np.ndarray], turn: int) -> pa.RecordBatch:
+        """``keys``: anchor << ROW_BITS | place of its row among ``owners``, which may repeat; sorted in place, and then taken bucket by bucket."""
+        names, place = np.unique(np.concatenate(owners), return_inverse=True)
+        place = place.astype(np.uint64)
+        for lo in range(0, len(keys), PIECE):
+            some = keys[lo : lo + PIECE]
+            some[:] = some & ~low | place[some & low]
+        keys.sort()
+        turn += int(names[int(keys[0] & low)].view(np.uint64) % np.uint64(buckets))  # tasks start at different buckets
+        edges = np.searchsorted(keys, lowest).tolist() + [len(keys)]
+        rows, again = [], []
+        for k in range(buckets):
+            own = keys[edges[k] : edges[k + 1]]
+            if not len(own):
+                continue
+            own = own[np.concatenate(([True], own[1:] != own[:-1]))]
+            h = own >> bits
+            cuts = run_starts(h)
+            n, first = np.diff(cuts), cuts[:-1]
+            used, index = np.unique(own[first] & low, return_inverse=True)
+            rows.append((k, 0, squeeze(h[first]), squeeze(names[used]), squeeze(index.astype(np.uint32)), squeeze((n == 1).view(np.uint8))))
+            again.append(own[np.repeat(n > 1, n)])
+        shared = np.concatenate(again)
+        for k, lo in enumerate(range(0, len(shared), 50_000)):
+            some = shared[lo : lo + 50_000]
+            rows.append(((turn + k) % buckets, 1, squeeze(some >> bits), squeeze(names[some & low]), b"", b""))
         return pack(rows)
 
     def pack(rows) -> pa.RecordBatch:
@@ -157,18 +167,23 @@ def anchor_batches(span: int, gram: int, buckets: int):
         return pa.RecordBatch.from_arrays([pa.array(cols[0], pa.int32()), pa.array(cols[1], pa.int32()), *(pa.array(c, pa.binary()) for c in cols[2:])], ["bucket", "kind", "h", "d", "i", "single"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hs, ds, held, turn = [], [], 0, 0
+        keys, owners, held, n_owners, turn = np.empty(UNIT_ANCHORS, np.uint64), [], 0, 0, 0
         for batch in batches:
             docs = batch.column(0).to_numpy()
             for h, number, _, _ in passages(*buffer_of(batch.column(1)), span, gram):
-                hs.append(h & np.uint64((1 << ANCHOR_BITS) - 1))
-                ds.append(docs[number])
+                cuts = run_starts(number)[:-1]  # a text has one run here at most
+                if held and (held + len(h) > len(keys) or n_owners + len(cuts) > 1 << ROW_BITS):
+                    yield flush(keys[:held], owners, turn)
+                    owners, held, n_owners, turn = [], 0, 0, turn + 1
+                if len(h) > len(keys):
+                    keys = np.empty(len(h), np.uint64)
+                place = np.repeat(np.arange(n_owners, n_owners + len(cuts), dtype=np.uint64), np.diff(np.append(cuts, len(number))))
+                keys[held : held + len(h)] = (h << bits) | place  # the anchor's upper bits go
+                owners.append(docs[number[cuts]])
                 held += len(h)
-                if held >= UNIT_ANCHORS:
-                    yield flush(np.concatenate(hs), np.concatenate(ds), turn)
-                    hs, ds, held, turn = [], [], 0, turn + 1
+                n_owners += len(cuts)
         if held:
-            yield flush(np.concatenate(hs), np.concatenate(ds), turn)
+            yield flush(keys[:held], owners, turn)
 
     return run
 
@@ -236,6 +251,13 @@ def marks(repeats: list[tuple[int, int, int, int]]) -> list[pa.Array]:
     return [pa.array(a[:, 0]), pa.array(a[:, 1]), pa.array((a[:, 2] << 16) | a[:, 3])]
 
 
+def parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Batches of few rows, so that what is made of a batch's anchors is small beside it; no copy is made."""
+    for batch in batches:
+        for lo in range(0, batch.num_rows, PART_ROWS):
+            yield batch.slice(lo, PART_ROWS)
+
+
 def asked_passages(data: np.ndarray, offsets: np.ndarray, asked: pa.ListArray, span: int, gram: int):
     """Passages as by ``passages``, and which of them have an anchor that is among those asked for of their text."""
     counts = np.diff(np.asarray(asked.offsets))
@@ -254,7 +276,7 @@ def window_batches(span: int, gram: int):
         import xxhash
 
         digest = xxhash.xxh3_128_digest
-        for batch in batches:
+        for batch in parts(batches):
             rows, (data, offsets), docs = batch.column(0).to_numpy(), buffer_of(batch.column(1)), batch.column(2).to_numpy()
             for _, number, first, windows, hit in asked_passages(data, offsets, batch.column(3), span, gram):
                 own = np.repeat(hit, windows[hit])
@@ -294,7 +316,7 @@ def passage_batches(span: int, gram: int, shards: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         copies = Copies()
-        for batch in batches:
+        for batch in parts(batches):
             rows, (data, offsets), docs = batch.column(0).to_numpy(), buffer_of(batch.column(1)), batch.column(2).to_numpy()
             for h, number, first, windows, hit in asked_passages(data, offsets, batch.column(3), span, gram):
                 inner = first[hit] - offsets[number[hit]]

@@ -4,10 +4,12 @@ import base64
 import hashlib
 import math
 import random
+import tracemalloc
 import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 
@@ -157,6 +159,44 @@ def test_repeats_with_a_common_anchor_in_many_contexts(spark, crowded):
     assert Counter(map(tuple, runindex.repeat_dedup(df, Workspace(spark, "t"), crowded=crowded).collect())) == left_of(own)
 
 
+@pytest.mark.parametrize("size, n", [(3000, 4000), (60, 70_000)])
+def test_anchors_and_passages_take_little_memory_beside_their_batch(monkeypatch, size, n):
+    """Of a batch of long texts, and of more short ones than a unit has places for; all anchors that two rows share are asked for."""
+    monkeypatch.setattr(runindex, "UNIT_ANCHORS", 600_000)
+    monkeypatch.setattr(runindex, "UNIT_BYTES", 1 << 20)
+    rng = np.random.default_rng(7)
+    data, ids = rng.integers(97, 123, n * size).astype(np.uint8), rng.permutation(n) - n // 2
+    for k in range(0, n, 10):
+        data[k * size : (k + 1) * size] = data[(k * 7 % n) * size :][:size]
+    texts = [data[k * size : (k + 1) * size].tobytes() for k in range(n)]
+    batch = pa.RecordBatch.from_arrays([pa.array(ids), pa.array(texts, pa.binary())], ["row", "text"])
+
+    def drained(run, batches):
+        """What it gives, and the most that it held meanwhile beside that."""
+        tracemalloc.start()
+        out, most = [], 0
+        for b in run(iter(batches)):
+            out.append(b)
+            most = max(most, tracemalloc.get_traced_memory()[1])
+        most = max(most, tracemalloc.get_traced_memory()[1])
+        tracemalloc.stop()
+        return pa.Table.from_batches(out), most / 1e6
+
+    packed, most = drained(runindex.anchor_batches(50, 24, 5), [batch])
+    assert most < 30
+    owners = defaultdict(set)
+    for h, number, _, _ in runindex.passages(data, np.arange(n + 1) * size, 50, 24):
+        for a, row in zip((h & np.uint64((1 << runindex.ANCHOR_BITS) - 1)).tolist(), ids[number].tolist(), strict=True):
+            owners[a].add(row)
+    asked = defaultdict(set)
+    for b in runindex.shared_batches(iter(packed.sort_by("bucket").to_batches(max_chunksize=100))):
+        for row, h in zip(*(c.to_pylist() for c in b.columns), strict=True):
+            asked[row].add(h)
+    assert {(row, a) for a, rows in owners.items() if len(rows) > 1 for row in rows} == {(row, a) for row, own in asked.items() for a in own}
+    asking = batch.append_column("doc", batch.column(0)).append_column("hs", pa.array([sorted(asked[row]) for row in ids.tolist()], pa.list_(pa.int64())))
+    assert drained(runindex.passage_batches(50, 24, 5), [asking])[1] < 15
+
+
 def test_matching_statistics():
     rng = random.Random(2)
     texts = [bytes(rng.choices(b"abc", k=rng.randrange(3, 40))) for _ in range(12)]
