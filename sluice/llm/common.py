@@ -95,6 +95,13 @@ def buffer_of(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(data, np.uint8) if data is not None and data.size else np.zeros(0, np.uint8), offsets.astype(np.int64)
 
 
+def bytes_of(column: pa.Array) -> list[bytes]:
+    """``to_pylist`` of a binary Arrow column without nulls, for many short values."""
+    data, offsets = buffer_of(column)
+    raw, cuts = data[offsets[0] : offsets[-1]].tobytes() if len(offsets) else b"", (offsets - offsets[:1]).tolist()
+    return [raw[a:b] for a, b in zip(cuts, cuts[1:], strict=False)]
+
+
 def sorted_runs(batches: Iterator[pa.RecordBatch], key: str, per_yield: int = 1 << 18) -> Iterator[pa.Table]:
     """Tables of whole runs of equal ``key`` from batches sorted by it; holds one run and a few batches at most."""
     held: list[pa.RecordBatch] = []

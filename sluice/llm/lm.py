@@ -3,15 +3,15 @@
 from __future__ import annotations
 
 import math
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import LOWER, Workspace, text_of
+from .common import LOWER, Workspace, buffer_of, bytes_of, text_of
 from .subword import MODEL, Vocabulary, automaton, load
 
 #: Words whose scores every task holds; the others are joined.
@@ -28,27 +28,56 @@ TEXT_WEIGHT = 300
 CONTEXT_WEIGHT = 100
 #: Words of no training text that occur more often are dealt to SALTS tasks: the HOT_WORDS most frequent of them, so any other is a small share of all rows.
 HOT, HOT_WORDS, SALTS = 100_000, 1_000, 64
-#: Bytes of text that a task scores at a time, or one longer text.
+#: Bytes of text that a task counts or scores at a time, or one longer text.
 TOGETHER = 1 << 20
+#: Whether a byte parts words.
+GAP = np.isin(np.arange(256), [*b" \t\n\v\f\r"])
+
+
+def blocks(batch: pa.RecordBatch, column: int, most: int) -> Iterator[pa.RecordBatch]:
+    """Slices whose texts have ``most`` bytes together, or one longer text."""
+    _, offsets = buffer_of(batch.column(column))
+    lo = 0
+    while lo < batch.num_rows:
+        hi = max(lo + 1, int(np.searchsorted(offsets, offsets[lo] + most, side="right")) - 1)
+        yield batch.slice(lo, hi - lo)
+        lo = hi
+
+
+def tokens(texts: list[bytes]) -> tuple[pa.DictionaryArray, np.ndarray]:
+    """The words of texts in a row, A-Z lower-cased, each distinct one once in the dictionary; and how many each text has."""
+    data = np.frombuffer(b"".join([b"\n" + t for t in texts]).translate(LOWER) + b"\n", np.uint8)
+    gap = GAP[data]
+    edges = np.flatnonzero(gap[1:] != gap[:-1]) + 1
+    starts = edges[::2]
+    offsets = np.concatenate(([0], np.cumsum(edges[1::2] - starts))).astype(np.int32)
+    words = pa.Array.from_buffers(pa.binary(), len(starts), [None, pa.py_buffer(offsets), pa.py_buffer(data[~gap])])
+    ends = np.cumsum([len(t) + 1 for t in texts])
+    return words.dictionary_encode(), np.diff(np.searchsorted(starts, ends), prepend=0)
 
 
 def count_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(train, text) to (word, c, other): counts in training texts and in the other texts."""
-    seen: tuple[Counter, Counter] = (Counter(), Counter())
+    parts: list[pa.RecordBatch] = []
+    names = ["word", "c", "other"]
 
-    def flush() -> pa.RecordBatch:
-        words = list(seen[0] | seen[1])
-        out = pa.RecordBatch.from_arrays([pa.array(words, pa.binary()), *(pa.array([k[w] for w in words], pa.int64()) for k in seen)], ["word", "c", "other"])
-        for k in seen:
-            k.clear()
-        return out
+    def merged() -> pa.RecordBatch:
+        words = pa.concat_arrays([p.column(0) for p in parts] or [pa.array([], pa.binary())]).dictionary_encode()
+        each = words.indices.to_numpy(), len(words.dictionary)
+        sums = [np.bincount(each[0], np.concatenate([p.column(k).to_numpy() for p in parts] or [np.zeros(0)]), each[1]).astype(np.int64) for k in (1, 2)]
+        return pa.RecordBatch.from_arrays([words.dictionary, *map(pa.array, sums)], names)
 
     for batch in batches:
-        for train, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-            seen[0 if train else 1].update(text.as_py().translate(LOWER).split())
-            if len(seen[0]) + len(seen[1]) > FLUSH:
-                yield flush()
-    yield flush()
+        for block in blocks(batch, 1, TOGETHER):
+            words, sizes = tokens(block.column(1).to_pylist())
+            codes, n = words.indices.to_numpy(), len(words.dictionary)
+            c = np.bincount(codes[np.repeat(block.column(0).to_numpy(zero_copy_only=False), sizes)], minlength=n)
+            parts.append(pa.RecordBatch.from_arrays([words.dictionary, pa.array(c), pa.array(np.bincount(codes, minlength=n) - c)], names))
+            if sum(p.num_rows for p in parts) > 2 * FLUSH:
+                parts = [merged()]
+                if parts[0].num_rows > FLUSH:
+                    yield parts.pop()
+    yield merged()
 
 
 def piece_batches(vocabulary: Vocabulary, log_p: np.ndarray | None = None):
@@ -58,7 +87,7 @@ def piece_batches(vocabulary: Vocabulary, log_p: np.ndarray | None = None):
         a = automaton(vocabulary)
         tally = np.zeros(len(vocabulary.pieces))
         for batch in batches:
-            words = [b" " + w for w in batch.column(0).to_pylist()]
+            words = [b" " + w for w in bytes_of(batch.column(0))]
             for lo in range(0, len(words), 20_000):
                 part = words[lo : lo + 20_000]
                 if log_p is None:
@@ -95,7 +124,7 @@ def word_batches(vocabulary: Vocabulary, log_p, totals: tuple[int, int, int], kn
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         a = automaton(vocabulary)
         for batch in batches:
-            words, c = batch.column(0).to_pylist(), batch.column(1).to_numpy().astype(float)
+            words, c = bytes_of(batch.column(0)), batch.column(1).to_numpy().astype(float)
             lattice = np.concatenate([a.likelihood([b" " + w for w in words[lo : lo + 20_000]], log_p) for lo in range(0, len(words), 20_000)] or [np.zeros(0)])
             with np.errstate(divide="ignore"):
                 whole = np.log(known_share * c / max(n, 1))
@@ -112,9 +141,15 @@ def running(codes: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarra
     doc = np.repeat(np.arange(len(sizes)), sizes)
     begin = np.cumsum(sizes) - sizes
     at = np.arange(len(codes)) - begin[doc]
-    order = np.lexsort((codes, doc))
-    changes = np.ones(len(codes), bool)
-    changes[1:] = (codes[order][1:] != codes[order][:-1]) | (doc[order][1:] != doc[order][:-1])
+    span, bits = int(codes.max(initial=0)) + 1, len(codes).bit_length()
+    if (len(sizes) * span).bit_length() + bits < 64:
+        own = np.sort((doc * span + codes) << bits | np.arange(len(codes)))
+        order, own = own & ((1 << bits) - 1), own >> bits
+        changes = np.append(True, own[1:] != own[:-1])[: len(codes)]
+    else:
+        order = np.lexsort((codes, doc))
+        changes = np.ones(len(codes), bool)
+        changes[1:] = (codes[order][1:] != codes[order][:-1]) | (doc[order][1:] != doc[order][:-1])
     starts = np.flatnonzero(changes)
     seen = np.empty(len(codes), np.int64)
     seen[order] = np.arange(len(codes)) - np.repeat(starts, np.diff(np.append(starts, len(codes))))
@@ -131,38 +166,32 @@ def document_batches(held, end: tuple[float, float, bool]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number, bases, scores, hot = held.value
         stop = 10 ** end[1]
+        odds = 10.0**scores
         for batch in batches:
-            sizes = [len(t.as_buffer()) for t in batch.column(3)]
-            lo = 0
-            while lo < batch.num_rows:
-                hi, load = lo + 1, sizes[lo]
-                while hi < batch.num_rows and load + sizes[hi] <= TOGETHER:
-                    load += sizes[hi]
-                    hi += 1
-                yield block(batch.slice(lo, hi - lo), number, bases, scores, hot, stop)
-                lo = hi
-
-    def block(batch: pa.RecordBatch, number: dict, bases: np.ndarray, scores: np.ndarray, hot: frozenset, stop: float) -> pa.RecordBatch:
-        texts = [t.translate(LOWER).split() for t in batch.column(3).to_pylist()]
-        words, count = [w for t in texts for w in t], np.array([len(t) for t in texts])
-        own: dict[bytes, int] = {}
-        codes = np.array([number[w] if w in number else own.setdefault(w, len(number) + len(own)) for w in words], np.int64)
+            for part in blocks(batch, 3, TOGETHER):
+                yield block(part, number, bases, scores, odds, hot, stop)
+
+    def block(batch: pa.RecordBatch, number: pa.Array, bases: np.ndarray, scores: np.ndarray, odds: np.ndarray, hot: pa.Array, stop: float) -> pa.RecordBatch:
+        words, count = tokens(batch.column(3).to_pylist())
+        which, distinct = words.indices.to_numpy(), words.dictionary
+        at_held = pc.index_in(distinct, value_set=number).fill_null(-1).to_numpy().astype(np.int64)
+        codes = np.where(at_held < 0, len(number) + np.arange(len(distinct)), at_held)[which]
         doc, at, seen, had = running(codes, count)
         known = codes < len(number)
         d, k, total = doc[known], codes[known], (at + had + TEXT_WEIGHT)[known]
         fresh = (had[known] + TEXT_WEIGHT) / total
-        score = np.log10((1 - stop) * seen[known] / total + fresh * 10.0 ** scores[k])
+        score = np.log10((1 - stop) * seen[known] / total + fresh * odds[k])
         prev = np.full(len(codes), -1, np.int64)
         prev[1:] = np.where((at[1:] > 0) & known[:-1], codes[:-1], -1)
         rest, row = np.flatnonzero(~known), batch.column(0).to_numpy()
-        others, train = [words[i] for i in rest], batch.column(2)
-        salt = np.array([i % SALTS if w in hot else 0 for i, w in zip(rest.tolist(), others, strict=True)], np.int32) if hot else np.zeros(len(rest), np.int32)
+        others, train = distinct.take(words.indices.take(pa.array(rest))), batch.column(2)
+        salt = np.where(pc.is_in(distinct, value_set=hot).to_numpy(zero_copy_only=False)[which[rest]], rest % SALTS, 0).astype(np.int32) if len(hot) else np.zeros(len(rest), np.int32)
 
         def column(whole, each, kind: pa.DataType) -> pa.Array:
-            parts = [pa.nulls(n, kind) if values is None else pa.array(values, kind) for values, n in ((whole, len(texts)), (each, len(rest)))]
+            parts = [pa.nulls(n, kind) if values is None else values if isinstance(values, pa.Array) else pa.array(values, kind) for values, n in ((whole, len(count)), (each, len(rest)))]
             return pa.concat_arrays(parts)
 
-        tally = np.bincount(d, minlength=len(texts))
+        tally = np.bincount(d, minlength=len(count))
         return pa.RecordBatch.from_arrays(
             [
                 column(row, row[doc[rest]], pa.int64()),
@@ -170,8 +199,8 @@ def document_batches(held, end: tuple[float, float, bool]):
                 *(column(None, values, pa.int32()) for values in (prev[rest], seen[rest], had[rest], at[rest], salt)),
                 column(1 + tally, np.ones(len(rest), np.int64), pa.int64()),
                 column(int(end[2]) + tally, None, pa.int64()),
-                column(end[0] + np.bincount(d, bases[k], len(texts)), None, pa.float64()),
-                column(end[1] + np.bincount(d, score, len(texts)), None, pa.float64()),
+                column(end[0] + np.bincount(d, bases[k], len(count)), None, pa.float64()),
+                column(end[1] + np.bincount(d, score, len(count)), None, pa.float64()),
                 pa.concat_arrays([batch.column(1), pa.nulls(len(rest), pa.int64())]),
                 pa.concat_arrays([train, train.take(pa.array(doc[rest]))]),
             ],
@@ -243,7 +272,7 @@ def lm_scores(docs: DataFrame, train: Column, ws: Workspace, path: str = MODEL,
     top = scored.where("c > 0").orderBy(F.desc("c"), "word").limit(held_words).select("word", "base", "score")
     top = top.collect()
     bases, scores = np.array([r["base"] for r in top], float), np.array([r["score"] for r in top], float)
-    held = spark.sparkContext.broadcast(({bytes(r["word"]): k for k, r in enumerate(top)}, bases, scores, frozenset(hot)))
+    held = spark.sparkContext.broadcast((pa.array([bytes(r["word"]) for r in top], pa.binary()), bases, scores, pa.array(hot, pa.binary())))
     end_base, end_score = math.log10((ends + 0.5) / (n + 0.5 * (v + 1))), math.log10(ends / n) if ends else math.log10(0.5 / (n + 0.5 * (v + 1)))
     stop = 10**end_score
     rest = max(0.0, 1 - stop - float((10.0**scores).sum()))

@@ -62,7 +62,7 @@ class Automaton:
     """Aho-Corasick over a vocabulary's pieces, complete transitions as a table, with output links.
 
     ``step[node, byte]`` is the next node. ``piece[node]`` is the piece that ends there (-1: none); ``link[node]`` is the nearest node
-    on the chain of failures that has one (0: none).
+    on the chain of failures that has one (0: none), ``first[node]`` the node itself if it has one, else that.
     """
 
     def __init__(self, vocabulary: Vocabulary):
@@ -97,6 +97,7 @@ class Automaton:
             rows = self.step[fresh]
             self.step[fresh] = np.where(rows < 0, self.step[fail[fresh]], rows)
             self.link[fresh] = np.where(self.piece[fail[fresh]] >= 0, fail[fresh], self.link[fail[fresh]])
+        self.first = np.where(self.piece >= 0, np.arange(nodes), self.link)
 
     @property
     def machine(self):
@@ -205,11 +206,11 @@ class Automaton:
     def walk(self, own: np.ndarray, grid: np.ndarray):
         """For each position: how many strings reach it, and (strings, pieces) by following output links."""
         longest, n = grid.shape
-        state = np.zeros(n, np.int64)
+        state, step = np.zeros(n, np.int64), self.step.reshape(-1)
         going = np.searchsorted(-own, -np.arange(longest), side="left")
 
         def outputs(m: int):
-            node = np.where(self.piece[state[:m]] >= 0, state[:m], self.link[state[:m]])
+            node = self.first[state[:m]]
             who = np.flatnonzero(node)
             node = node[who]
             while len(who):
@@ -220,7 +221,7 @@ class Automaton:
 
         for pos in range(longest):
             m = int(going[pos])
-            state[:m] = self.step[state[:m], grid[pos, :m]]
+            state[:m] = step[state[:m] * 256 + grid[pos, :m]]
             yield pos, m, outputs(m)
 
     def encode(self, strings: list[bytes]) -> list[np.ndarray]:
@@ -296,52 +297,95 @@ class Automaton:
             out[which[k]] = ids[cuts[k] : cuts[k + 1]][::-1]
 
     def likelihood(self, strings: list[bytes], log_p: np.ndarray) -> np.ndarray:
-        """Natural logarithm of the summed probability of all segmentations, by the forward recursion in log space.
+        """Natural logarithm of the summed probability of all segmentations, by the forward recursion, in log space where a double could not hold the sums.
 
         Every byte may also be its byte piece, so no string is impossible.
         """
+        near = self.representable(log_p)
         out = np.array([self.total_alone(s, log_p) if len(s) > LONGEST_TOGETHER else 0.0 for s in strings])
-        together = np.array([k for k, s in enumerate(strings) if len(s) <= LONGEST_TOGETHER], np.int64)
-        octet_p = log_p[self.byte_id]
-        for which, own, grid in self.batches([strings[k] for k in together]):
-            longest, n = grid.shape
-            total = np.full((longest + 1, n), -np.inf)
-            total[0] = 0
-            for pos, m, outputs in self.walk(own, grid):
-                now = total[pos + 1]
-                now[:m] = total[pos, :m] + octet_p[grid[pos, :m]]
-                for who, ids in outputs:
-                    now[who] = np.logaddexp(now[who], total[pos + 1 - self.length[ids], who] + log_p[ids])
-            out[together[which]] = total[own, np.arange(n)]
+        for short, which, own, grid in self.by_range(strings, near):
+            total, _ = (self.forward if short else self.forward_log)(own, grid, log_p)
+            end = total[own, np.arange(len(own))]
+            out[which] = np.log(end) if short else end
         return out
 
+    def representable(self, log_p: np.ndarray) -> int:
+        """Up to how many bytes a string's sums lie between exp(-600) and exp(600), so that they need no logarithms: at least its bytes' own pieces, at most every piece at every place."""
+        with np.errstate(over="ignore"):
+            widest = max(-log_p[self.byte_id].min(), float(np.log1p(np.exp(log_p).sum())))
+        return int(600 / widest) if widest > 0 else LONGEST_TOGETHER
+
+    def by_range(self, strings: list[bytes], near: int):
+        """(whether of at most ``near`` bytes, which, sizes, matrix) for all strings that share batches."""
+        sizes = np.array([len(s) for s in strings], np.int64)
+        for short in (True, False):
+            of = np.flatnonzero((sizes <= LONGEST_TOGETHER) & ((sizes <= near) == short))
+            for which, own, grid in self.batches(strings if len(of) == len(strings) else [strings[k] for k in of.tolist()]):
+                yield short, of[which], own, grid
+
+    def forward(self, own: np.ndarray, grid: np.ndarray, log_p: np.ndarray):
+        """Summed probabilities of all segmentations up to each position, and the arcs (string, place it starts, piece) into each."""
+        longest, n = grid.shape
+        p = np.exp(log_p)
+        octet, total = p[self.byte_id], np.zeros((longest + 1, n))
+        total[0] = 1
+        flat, arcs = total.reshape(-1), []
+        for pos, m, outputs in self.walk(own, grid):
+            now = total[pos + 1]
+            now[:m] = total[pos, :m] * octet[grid[pos, :m]]
+            arcs.append([])
+            for who, ids in outputs:
+                start = (pos + 1 - self.length[ids]) * n + who
+                now[who] += flat[start] * p[ids]
+                arcs[-1].append((who, start, ids))
+        return total, arcs
+
+    def forward_log(self, own: np.ndarray, grid: np.ndarray, log_p: np.ndarray):
+        """``forward`` in log space."""
+        longest, n = grid.shape
+        octet, total = log_p[self.byte_id], np.full((longest + 1, n), -np.inf)
+        total[0] = 0
+        flat, arcs = total.reshape(-1), []
+        for pos, m, outputs in self.walk(own, grid):
+            now = total[pos + 1]
+            now[:m] = total[pos, :m] + octet[grid[pos, :m]]
+            arcs.append([])
+            for who, ids in outputs:
+                start = (pos + 1 - self.length[ids]) * n + who
+                now[who] = np.logaddexp(now[who], flat[start] + log_p[ids])
+                arcs[-1].append((who, start, ids))
+        return total, arcs
+
     def expected(self, strings: list[bytes], log_p: np.ndarray) -> np.ndarray:
         """How often each piece is used, expected over all segmentations of each string: the forward recursion, then the backward one over its arcs."""
-        tally = np.zeros(len(log_p))
-        octet_p = log_p[self.byte_id]
+        tally, p, near = np.zeros(len(log_p)), np.exp(log_p), self.representable(log_p)
         for string in strings:
             if len(string) > LONGEST_TOGETHER:
                 tally += self.expected_alone(string, log_p)
-        for which, own, grid in self.batches([s for s in strings if len(s) <= LONGEST_TOGETHER]):
+        for short, _, own, grid in self.by_range(strings, near):
             longest, n = grid.shape
-            total, after = np.full((longest + 1, n), -np.inf), np.full((longest + 1, n), -np.inf)
-            total[0] = 0
-            after[own, np.arange(n)] = 0
-            arcs: list[list[tuple[np.ndarray, np.ndarray]]] = []
-            for pos, m, outputs in self.walk(own, grid):
-                now = total[pos + 1]
-                arcs.append([(np.arange(m), self.byte_id[grid[pos, :m]])])
-                now[:m] = total[pos, :m] + octet_p[grid[pos, :m]]
-                for who, ids in outputs:
-                    now[who] = np.logaddexp(now[who], total[pos + 1 - self.length[ids], who] + log_p[ids])
-                    arcs[-1].append((who, ids))
-            whole = total[own, np.arange(n)]
+            total, arcs = (self.forward if short else self.forward_log)(own, grid, log_p)
+            ends = own * n + np.arange(n)
+            after = np.zeros_like(total) if short else np.full_like(total, -np.inf)
+            before, whole, behind = total.reshape(-1), total.reshape(-1)[ends], after.reshape(-1)
+            # What is passed back is a share of the whole string's sum.
+            behind[ends] = 1 / whole if short else -whole
+            pieces, shares = [], []
             for pos in range(longest - 1, -1, -1):
-                for k, (who, ids) in enumerate(arcs[pos]):
-                    start = pos + 1 - self.length[ids] if k else pos
-                    rest = after[pos + 1, who] + log_p[ids]
-                    after[start, who] = np.logaddexp(after[start, who], rest)
-                    tally += np.bincount(ids, np.exp(total[start, who] + rest - whole[who]), len(tally))
+                m = int(np.searchsorted(-own, -pos, side="left"))
+                octets = (np.arange(m), pos * n + np.arange(m), self.byte_id[grid[pos, :m]])
+                for who, start, ids in [octets, *arcs[pos]]:
+                    if short:
+                        rest = after[pos + 1, who] * p[ids]
+                        behind[start] += rest
+                        shares.append(before[start] * rest)
+                    else:
+                        rest = after[pos + 1, who] + log_p[ids]
+                        behind[start] = np.logaddexp(behind[start], rest)
+                        shares.append(np.exp(before[start] + rest))
+                    pieces.append(ids)
+            if pieces:
+                tally += np.bincount(np.concatenate(pieces), np.concatenate(shares), len(tally))
         return tally
 
 

@@ -477,6 +477,55 @@ def test_lm_scores_by_plain_counting(spark, docs, rows, monkeypatch, hot):
     assert got == want
 
 
+def test_short_words_are_summed_without_logarithms(monkeypatch):
+    """Words whose sums a double holds; the others, in log space, give the same."""
+    a = subword.Automaton(subword.load())
+    log_p = np.log(np.random.default_rng(2).dirichlet(np.ones(len(a.vocabulary.pieces))))
+    words = [b" the", b" xyz", b"", " gämma".encode(), b"\xff\xfe", b" internationally", b" the"]
+    plain = [a.total_alone(w, log_p) for w in words], sum(a.expected_alone(w, log_p) for w in words)
+
+    def refuse(*_):
+        raise AssertionError("a logarithm")
+
+    with monkeypatch.context() as m:
+        m.setattr(np, "logaddexp", refuse)
+        got = a.likelihood(words, log_p), a.expected(words, log_p)
+    assert np.allclose(got[0], plain[0], rtol=1e-12) and np.allclose(got[1], plain[1], atol=1e-12)
+    faint = log_p - 400  # no double holds the probability of two pieces
+    words.append(b" ab" * 30)
+    assert np.allclose(a.likelihood(words, faint), [a.total_alone(w, faint) for w in words], rtol=1e-12)
+    assert np.allclose(a.expected(words, faint), sum(a.expected_alone(w, faint) for w in words), atol=1e-9)
+    wide = log_p.copy()
+    wide[a.byte_id] -= 100  # words of up to five bytes without logarithms, the others with them
+    assert 3 < a.representable(wide) < 8
+    assert np.allclose(a.likelihood(words, wide), [a.total_alone(w, wide) for w in words], rtol=1e-12)
+    assert np.allclose(a.expected(words, wide), sum(a.expected_alone(w, wide) for w in words), atol=1e-9)
+
+
+@pytest.mark.parametrize("flush", [400_000, 3])
+def test_words_are_counted_by_arrays(monkeypatch, flush):
+    """Odd bytes, white space at either end, texts without words, blocks of one text, and counts passed on early."""
+    monkeypatch.setattr(lm, "FLUSH", flush)
+    monkeypatch.setattr(lm, "TOGETHER", 40)
+    rng = random.Random(7)
+    texts = [b"", b" ", b"A", b"\x1c\x1f\x85\xa0 \x0b\x0cb\r\n", b"\x00 \xff", *(bytes(rng.choices(b"aAbBzZ[@ \t\n\x0b\x0c\r\xc3\xa4\x00", k=rng.randrange(90))) for _ in range(300))]
+    train = [rng.random() < 0.7 for _ in texts]
+    want = Counter(), Counter()
+    for t, w in zip(texts, train, strict=True):
+        want[not w].update(t.translate(LOWER).split())
+    for sliced in (0, 5):
+        batch = pa.RecordBatch.from_arrays([pa.array([True] * sliced + train), pa.array([b"cut off"] * sliced + texts, pa.binary())], ["train", "text"]).slice(sliced)
+        got = Counter(), Counter()
+        for out in lm.count_batches(iter([batch, batch.slice(0, 0)])):
+            for w, *n in zip(*(c.to_pylist() for c in out.columns), strict=True):
+                for k in (0, 1):
+                    got[k][w] += n[k]
+        assert (+got[0], +got[1]) == want
+    words, sizes = lm.tokens(texts)
+    assert words.to_pylist() == [w for t in texts for w in t.translate(LOWER).split()] and sizes.tolist() == [len(t.split()) for t in texts]
+    assert sum(b.num_rows for b in lm.blocks(batch, 1, 40)) == len(texts) and lm.tokens([])[0].to_pylist() == []
+
+
 def test_lattice_sums_over_all_segmentations():
     a = subword.automaton(subword.load())
     pieces = {p: i for i, (p, n) in enumerate(zip(a.vocabulary.pieces, a.vocabulary.normal, strict=True)) if n}
